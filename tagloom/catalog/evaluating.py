@@ -16,7 +16,7 @@ from tagloom.operators.balancing import fit_min_max, resample, oversample, under
 from tagloom.operators.labels import multi_hot
 from tagloom.operators.splits import assign_splits
 from tagloom.operators.scoring import TagModel, similarities
-from tagloom.functions.vectors import array_column
+from tagloom.functions.vectors import raw_array_column
 from tagloom.plans.tagging import benchmark_labelled
 
 METRICS = ("precision", "recall", "f1", "fpr", "youden_j")
@@ -48,7 +48,7 @@ def _scores_long(spark, folder):
     """(tag, y, score): each vector against each centroid, own class true."""
     model = TagModel.load(calibrated(spark, folder))
     rows = multi_hot(labelled_vectors(spark, folder), model.tags, "tags")
-    return evaluation.long_scores(rows, model.tags, similarities(array_column(rows, "features"), model))
+    return evaluation.long_scores(rows, model.tags, similarities(raw_array_column(rows, "features"), model))
 
 
 @query(

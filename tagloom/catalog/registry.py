@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.sources.storage import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Tables whose rows are long texts, where per-row work outweighs the scan.
+TEXT_TABLES = ("documents", "conversations")
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -25,4 +30,5 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows

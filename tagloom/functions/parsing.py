@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import clean_text
+from tagloom.functions.text import clean_if_given, clean_text
 
 # The order of the seven numbers in a nutrition list.
 NUTRITION_FIELDS = (
@@ -48,22 +48,21 @@ def as_instant(value: Column) -> Column:
     return F.try_to_timestamp(value)
 
 
-def _join_or_null(items: Column) -> Column:
-    # concat_ws turns a null list into '', which later not-null checks would miss.
-    return F.when(items.isNotNull(), F.concat_ws(" ", items))
-
-
 def ingredient_terms(literal: Column) -> Column:
-    """One underscore-joined term per ingredient, space separated."""
-    return _join_or_null(
-        F.transform(string_list(literal), lambda item: F.replace(clean_text(item), F.lit(" "), F.lit("_")))
+    """One underscore-joined term per ingredient, space separated.
+
+    Here and below an unreadable list gives null, so that later not-null checks
+    see it.
+    """
+    terms = F.transform(
+        string_list(literal), lambda item: F.replace(clean_text(item), F.lit(" "), F.lit("_"))
     )
+    return F.array_join(terms, " ")
 
 
 def step_text(literal: Column) -> Column:
-    joined = _join_or_null(string_list(literal))
-    return F.when(joined.isNotNull(), clean_text(joined))
+    return clean_if_given(F.array_join(string_list(literal), " "))
 
 
 def tag_terms(literal: Column) -> Column:
-    return _join_or_null(F.transform(string_list(literal), lambda item: clean_text(item)))
+    return F.array_join(F.transform(string_list(literal), lambda item: clean_text(item)), " ")

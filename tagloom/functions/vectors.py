@@ -21,9 +21,14 @@ from pyspark.sql import functions as F
 
 def array_column(df: DataFrame, name: str) -> Column:
     """The column as ``array<double>``, whether it holds ML vectors or arrays."""
+    return raw_array_column(df, name).cast("array<double>")
+
+
+def raw_array_column(df: DataFrame, name: str) -> Column:
+    """The column as an array in its own element type (``float`` stays narrow)."""
     if isinstance(df.schema[name].dataType, VectorUDT):
         return F.when(F.col(name).isNotNull(), vector_to_array(F.col(name)))
-    return F.col(name).cast("array<double>")
+    return F.col(name)
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -64,6 +69,9 @@ def matrix_product(
     with unit rows the result is the cosine. ``logistic`` maps ``w.x + b`` to a
     probability. A null vector, null element or wrong length gives a null array.
     The matrix travels in the function's closure, so keep it small.
+
+    Marked non-deterministic so that Spark neither copies it into a filter below
+    nor repeats it: each row is multiplied once.
     """
     weights = np.ascontiguousarray(np.asarray(matrix, dtype="float64").T)
     offset = None if bias is None else np.asarray(bias, dtype="float64")
@@ -96,4 +104,4 @@ def matrix_product(
             mask=pa.array(~usable),
         )
 
-    return multiply
+    return multiply.asNondeterministic()

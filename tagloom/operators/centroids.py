@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import array_column, cosine, dot, unit
-from tagloom.operators.contracts import require_columns
+from tagloom.operators.contracts import require_columns, unrolled
 
 
 def calibrate(
@@ -52,7 +52,7 @@ def calibrate(
         wanted.alias("tags"),
     )
     rows = Normalizer(inputCol="x", outputCol="x_unit").transform(rows)
-    long = rows.select("split", "x", "x_unit", F.explode("tags").alias("tag"))
+    long = unrolled(rows, ["split", "x", "x_unit"], "tags", "tag")
     shares = long.groupBy("tag", "split").agg(
         F.count(F.lit(1)).alias("n"),
         vector_to_array(Summarizer.mean(F.col("x"))).alias("mean"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import parsing as parse
 from tagloom.functions.text import clean_text, clean_token_count, raw_token_count
+from tagloom.operators.contracts import not_null
 
 # Token bounds of a review, and the rating that means "not given".
 MIN_TOKENS = 15
@@ -54,9 +55,7 @@ def coerce_interactions(df: DataFrame) -> DataFrame:
             "date": parse.as_day(F.col("date").cast("string")),
         }
     )
-    return typed.dropna(subset=["user_id", "recipe_id", "rating"]).filter(
-        F.col("rating") != MISSING_RATING
-    )
+    return not_null(typed, ("user_id", "recipe_id", "rating")).filter(F.col("rating") != MISSING_RATING)
 
 
 def within_token_band(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,19 @@ def without_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def not_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(names))
+    """Rows with every column present. Plain conditions, so they reach the scan."""
+    return df.filter(reduce(and_, [F.col(n).isNotNull() for n in names]))
+
+
+def unrolled(df: DataFrame, keep: Sequence[str], array: str | Column, name: str) -> DataFrame:
+    """One row per array element, null elements and empty arrays left out.
+
+    A plain ``explode`` makes Spark infer "array is not empty" and push it below
+    the projection that builds the array, which is then built twice per row. The
+    outer form with a filter behind it builds it once.
+    """
+    values = F.col(array) if isinstance(array, str) else array
+    return df.select(*keep, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
 
 
 def keep_or_derive(df: DataFrame, name: str, derived: Column) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.keys import row_key
-from tagloom.operators.contracts import in_order, require_columns, without_columns
+from tagloom.operators.contracts import in_order, not_null, require_columns, without_columns
 from tagloom.sources import schemas
 
 # Fixed value: the rating from which a review counts as liked.
@@ -33,14 +33,15 @@ def gold_reviews(interactions: DataFrame) -> DataFrame:
     map side before anything is shuffled, however often one review repeats.
     """
     require_columns(interactions, schemas.REVIEW_FIELDS, "interactions")
-    distinct = interactions.select(*schemas.REVIEW_FIELDS).dropna().distinct()
+    distinct = not_null(interactions.select(*schemas.REVIEW_FIELDS), schemas.REVIEW_FIELDS).distinct()
     return in_order(with_review_key(with_liked(distinct)), schemas.GOLD_REVIEWS, strict=True)
 
 
 def gold_recipes(recipes: DataFrame) -> DataFrame:
     """Recipe dimension: only rows with every field present."""
     require_columns(recipes, ("id", *schemas.GOLD_RECIPES[1:]), "recipes")
-    return recipes.withColumnRenamed("id", "recipe_id").select(*schemas.GOLD_RECIPES).dropna()
+    renamed = recipes.withColumnRenamed("id", "recipe_id").select(*schemas.GOLD_RECIPES)
+    return not_null(renamed, schemas.GOLD_RECIPES)
 
 
 def gold_wide(reviews: DataFrame, recipes: DataFrame, key: str = "recipe_id") -> DataFrame:

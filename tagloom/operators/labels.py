@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.contracts import require_columns
+from tagloom.operators.contracts import require_columns, unrolled
 
 
 def multi_hot(
@@ -49,4 +49,4 @@ def row_total(columns: Sequence[str]) -> Column:
 
 def positives_long(df: DataFrame, tags: Sequence[str], keep: Sequence[str], prefix: str = "y_") -> DataFrame:
     """One row per (row, positive tag). Only positives are ever emitted."""
-    return df.select(*keep, F.explode(tags_set(tags, prefix)).alias("tag"))
+    return unrolled(df, keep, tags_set(tags, prefix), "tag")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import char_length, is_blank
+from tagloom.operators.contracts import unrolled
 from tagloom.operators.taxonomy import V1, Taxonomy
 
 ROWS = "*"
@@ -77,9 +78,7 @@ def co_occurrence(df: DataFrame, tag_list: str = "tag_list") -> DataFrame:
         .groupBy("tags")
         .agg(F.count(ROWS).alias("n"))
     )
-    pairs = combos.select(F.explode("tags").alias("tag_a"), "tags", "n").select(
-        "tag_a", F.explode("tags").alias("tag_b"), "n"
-    )
+    pairs = unrolled(unrolled(combos, ["tags", "n"], "tags", "tag_a"), ["tag_a", "n"], "tags", "tag_b")
     return pairs.groupBy("tag_a", "tag_b").agg(F.sum("n").alias("n"))
 
 

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.vectors import array_column, dot, matrix_product, norm, unit_rows
+from tagloom.functions.vectors import dot, matrix_product, norm, raw_array_column, unit_rows
 
 # Above this many centroids the model no longer fits the "fixed handful" design.
 MAX_TAGS = 10_000
@@ -60,6 +60,7 @@ def similarities(vector: Column, model: TagModel, engine: str = "arrow") -> Colu
         return matrix_product(model.units, unit_input=True)(vector)
     if engine != "native":
         raise ValueError(f"Unknown scoring engine: {engine}")
+    vector = vector.cast("array<double>")
     length = norm(vector)
     products = F.array(*[dot(vector, F.lit([float(v) for v in u])) for u in model.units])
     scaled = F.transform(products, lambda p: p / length)
@@ -71,7 +72,7 @@ def score_wide(
     df: DataFrame, model: TagModel, *, vector: str = "features", prefix: str = "sim_", engine: str = "arrow"
 ) -> DataFrame:
     """One ``sim_<tag>`` column per centroid, all from a single pass over the row."""
-    scored = df.withColumn("_sims", similarities(array_column(df, vector), model, engine))
+    scored = df.withColumn("_sims", similarities(raw_array_column(df, vector), model, engine))
     columns = {f"{prefix}{t}": F.get("_sims", F.lit(i)) for i, t in enumerate(model.tags)}
     return scored.select(*df.columns, *[c.alias(name) for name, c in columns.items()])
 
@@ -90,7 +91,7 @@ def score_long(
         name, value = where_split
         df = df.filter(F.col(name) == value)
     names = F.array(*[F.lit(t) for t in model.tags])
-    scored = df.select(*keep, similarities(array_column(df, vector), model, engine).alias("_sims"))
+    scored = df.select(*keep, similarities(raw_array_column(df, vector), model, engine).alias("_sims"))
     return scored.select(*keep, F.posexplode("_sims").alias("_place", "sim")).select(
         *keep, F.get(names, F.col("_place")).alias("tag"), "sim"
     )
@@ -131,7 +132,7 @@ def assigned_long(df: DataFrame, model: TagModel, *, keep: Sequence[str], vector
     """(row, tag, sim) for the tags whose threshold the row reaches."""
     limits = F.array(*[F.lit(float(model.thresholds.get(t, np.inf))) for t in model.tags])
     names = F.array(*[F.lit(t) for t in model.tags])
-    scored = df.select(*keep, similarities(array_column(df, vector), model).alias("_sims"))
+    scored = df.select(*keep, similarities(raw_array_column(df, vector), model).alias("_sims"))
     return (
         scored.select(*keep, F.posexplode("_sims").alias("_place", "sim"))
         .filter(F.col("sim") >= F.get(limits, F.col("_place")))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import stopword_list
-from tagloom.operators.contracts import without_columns
+from tagloom.operators.contracts import unrolled, without_columns
 
 
 @dataclass(frozen=True)
@@ -99,9 +99,7 @@ def tfidf_stages(spec: TextSpec = TextSpec()) -> Pipeline:
 
 def document_terms(df: DataFrame, key: str, tokens: str) -> DataFrame:
     """(key, term, tf): how often each term occurs in each row."""
-    return df.select(key, F.explode(tokens).alias("term")).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    return unrolled(df, [key], tokens, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_terms(df: DataFrame, key: str, tokens: str, *, min_doc_freq: int = 2) -> DataFrame:
@@ -113,7 +111,7 @@ def tfidf_terms(df: DataFrame, key: str, tokens: str, *, min_doc_freq: int = 2)
     """
     counts = document_terms(df, key, tokens)
     frequency = (
-        df.select(F.explode(F.array_distinct(F.col(tokens))).alias("term"))
+        unrolled(df, [], F.array_distinct(F.col(tokens)), "term")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -124,12 +122,12 @@ def tfidf_terms(df: DataFrame, key: str, tokens: str, *, min_doc_freq: int = 2)
 
 def top_terms(df: DataFrame, tokens: str, n: int = 10) -> DataFrame:
     """Most frequent terms; equal counts in alphabetical order."""
-    counts = df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = unrolled(df, [], tokens, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), "term").limit(n)
 
 
 def vocabulary_size(df: DataFrame, tokens: str, min_count: int = 1) -> int:
-    counts = df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = unrolled(df, [], tokens, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return counts.filter(F.col("n") >= min_count).count()
 
 

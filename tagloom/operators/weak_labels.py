@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import clean_text
+from tagloom.functions.text import clean_words
 from tagloom.operators.contracts import require_columns
 from tagloom.operators.taxonomy import V1, Taxonomy
 
@@ -56,7 +56,7 @@ def with_lexicon_scores(
     """
     words_of = [sorted(set(_clean_words(h))) for h in taxonomy.hypotheses]
     vocabulary = sorted({w for words in words_of for w in words})
-    hits = F.array_intersect(F.split(clean_text(F.col(text)), " "), _strings(vocabulary))
+    hits = F.array_intersect(clean_words(F.col(text)), _strings(vocabulary))
     found = df.withColumn("_hits", hits)
     shares = [F.size(F.array_intersect(F.col("_hits"), _strings(w))) / len(w) for w in words_of]
     return found.withColumn(out, F.array(*shares)).drop("_hits")

@@ -38,7 +38,7 @@ def pending(spark: SparkSession, input_path: str, output_path: str, key: str) ->
     todo = spark.read.parquet(input_path)
     if not path_exists(spark, output_path):
         return todo
-    done = spark.read.parquet(output_path).select(CHUNK, key).distinct()
+    done = spark.read.parquet(output_path).select(CHUNK, key)
     return todo.join(done, [CHUNK, key], "left_anti")
 
 

@@ -7,8 +7,8 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tagloom.operators.contracts import not_null as with_values
 from tagloom.operators.contracts import require_columns
 
 
@@ -63,9 +63,17 @@ def scan(
     """Parquet scan that checks its columns and drops rows with a null key."""
     df = spark.read.parquet(path)
     require_columns(df, required, path)
-    for name in not_null:
-        df = df.filter(F.col(name).isNotNull())
-    return df
+    return with_values(df, not_null) if not_null else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out over all cores before costly per-row work.
+
+    A table that arrives in fewer pieces than there are cores is small by
+    construction; anything larger is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def write_table(
