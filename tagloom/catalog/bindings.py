@@ -256,6 +256,7 @@ WEAK_CONFIG = WeakLabelConfig(
     text="text",
     threshold={"positive": 0.85, "negative": 0.7, "neutral": 0.75},
     fallback_gate=0.3,
+    lexicon_skips=(),
 )
 
 

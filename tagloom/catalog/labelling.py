@@ -16,7 +16,7 @@ POLARITY_VALUES = ", ".join(f"('{t}', '{p}')" for t, p in CORPUS_TAXONOMY.polari
 
 def _hypothesis_scores(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return weak_labels.with_lexicon_scores(docs, CORPUS_TAXONOMY, "text", "scores").drop("text")
+    return weak_labels.with_lexicon_scores(docs, CORPUS_TAXONOMY, "text", "scores", skips=()).drop("text")
 
 
 def _labelled(spark, folder):

@@ -44,12 +44,12 @@ def clean_words(text: Column) -> Column:
 
 def raw_token_count(text: Column) -> Column:
     """Pieces of the *raw* text between single spaces; a double space adds one."""
-    return F.size(F.split(text, " "))
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
 
 
 def clean_token_count(text: Column) -> Column:
     """Whitespace-separated pieces of the text; null and ``''`` both count 1."""
-    return F.size(F.split(F.coalesce(text, F.lit("")), r"\s+"))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\s+")) + 1
 
 
 def char_length(text: Column) -> Column:

@@ -170,8 +170,11 @@ class Word2VecSpec:
 def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str | None = "review_key") -> Word2VecModel:
     """Train word vectors on the rows that have tokens.
 
-    Rows are placed and ordered by the unique ``key`` so that a seed gives the
-    same shards on any cluster; without a key they are dealt out evenly. The vocabulary is counted first: vectors are held by the
+    Rows are placed and ordered by the unique ``key``, so a seed gives the same
+    shards on any cluster; without a key they are dealt out evenly. One partition
+    trains reproducibly; several train in parallel and are averaged, and tasks
+    sharing an executor see each other's updates, so vectors then vary a little
+    between runs. The vocabulary is counted first: vectors are held by the
     driver and shipped to every executor, so an oversized one is refused before
     training instead of failing in the middle. ``df`` is read several times;
     pass a written table.

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.text import clean_words
+from tagloom.functions.text import clean_words, stopword_list
 from tagloom.operators.contracts import require_columns
 from tagloom.operators.taxonomy import V1, Taxonomy
 
@@ -39,6 +39,8 @@ class WeakLabelConfig:
     fallback_gate: float = 0.55
     fallback_top_k: int = 1
     fallback_allow_positive: bool = False
+    # Words the lexicon skips; None means Spark's stopwords without negations.
+    lexicon_skips: tuple[str, ...] | None = None
 
     def threshold_of(self, tag: str) -> float:
         polarity = self.taxonomy.polarity.get(tag, "neutral")
@@ -46,15 +48,20 @@ class WeakLabelConfig:
 
 
 def with_lexicon_scores(
-    df: DataFrame, taxonomy: Taxonomy = V1, text: str = "review_clean", out: str = "hypothesis_scores"
+    df: DataFrame, taxonomy: Taxonomy = V1, text: str = "review_clean", out: str = "hypothesis_scores",
+    *, skips: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Share of each hypothesis' words found in the text, as ``array<double>``.
+    """Share of each hypothesis' content words found in the text, as ``array<double>``.
 
     A deterministic stand-in for a trained model. The text is intersected once
     with all hypothesis words; what is left is at most as long as that list, and
     every hypothesis is then compared with those few words only.
     """
-    words_of = [sorted(set(_clean_words(h))) for h in taxonomy.hypotheses]
+    skipped = set(stopword_list() if skips is None else skips)
+    words_of = []
+    for hypothesis in taxonomy.hypotheses:
+        words = set(_clean_words(hypothesis))
+        words_of.append(sorted(words - skipped or words))
     vocabulary = sorted({w for words in words_of for w in words})
     hits = F.array_intersect(clean_words(F.col(text)), _strings(vocabulary))
     found = df.withColumn("_hits", hits)
@@ -175,7 +182,7 @@ def label(
     """Score and assign in one pass; without a scorer to load, by the lexicon."""
     rows = df.select(cfg.key, cfg.text)
     if load is None:
-        scored = with_lexicon_scores(rows, cfg.taxonomy, cfg.text)
+        scored = with_lexicon_scores(rows, cfg.taxonomy, cfg.text, skips=cfg.lexicon_skips)
     else:
         scored = with_model_scores(rows, load, cfg.taxonomy, cfg.text)
     rolled = scored.select(cfg.key, tag_scores(F.col("hypothesis_scores"), cfg.taxonomy).alias("tag_scores"))

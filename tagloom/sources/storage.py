@@ -31,14 +31,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own; on a
     cluster an unset value is an error, since executors would not share it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="tagloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
