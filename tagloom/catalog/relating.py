@@ -8,6 +8,7 @@ from tagloom.catalog.bindings import LABELLED_DOCUMENTS_SQL, clean_documents, sq
 from tagloom.catalog.registry import query, table
 from tagloom.operators import gold, selection, splits
 from tagloom.operators.cleaning import with_min_tokens
+from tagloom.operators.joins import join_to_one
 
 
 @query(
@@ -24,6 +25,20 @@ def wide_join(spark, folder):
     return gold.attach_by_key(facts, dims, "l_partkey")
 
 
+@query(
+    "SELECT CASE WHEN l_suppkey % 3 = 0 THEN 0 ELSE l_partkey END AS k, l_orderkey, l_linenumber, l_suppkey, p_name "
+    "FROM lineitem JOIN part ON p_partkey = CASE WHEN l_suppkey % 3 = 0 THEN 0 ELSE l_partkey END"
+)
+def hot_key_join(spark, folder):
+    """A third of the rows share one key, and the other side may not be broadcast."""
+    facts = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_suppkey") % 3 == 0, 0).otherwise(F.col("l_partkey")).alias("k"),
+        "l_orderkey", "l_linenumber", "l_suppkey",
+    )
+    dims = table(spark, folder, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    return join_to_one(facts, dims, "k", broadcast_bytes=0)
+
+
 @query("SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id)")
 def attach_labels(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "lang")

@@ -183,24 +183,25 @@ def tfidf_hashed(spark, folder):
     return tfidf_stages(spec).fit(terms).transform(terms).select("doc_id", spec.tfidf)
 
 
-# A word's vector here is (length / 3, first digest digit / 7).
+# A word's vector here is (length, first digest digit) over a prime, so that no
+# mean falls on a rounding boundary.
 @query(
     f"""
 WITH {SQL_TOKENS},
 words AS (SELECT doc_id, unnest(kept) AS word FROM kept),
-known AS (SELECT doc_id, length(word) / 3.0::DOUBLE AS a, ('0x' || substr(md5(word), 1, 1))::INTEGER / 7.0::DOUBLE AS b
+known AS (SELECT doc_id, length(word) / 9973.0::DOUBLE AS a, ('0x' || substr(md5(word), 1, 1))::INTEGER / 9973.0::DOUBLE AS b
           FROM words WHERE length(word) % 3 <> 0),
 sums AS (SELECT doc_id, sum(a) AS a, sum(b) AS b FROM known GROUP BY doc_id)
-SELECT doc_id, round(CASE WHEN len(kept) = 0 THEN 0 ELSE coalesce(a, 0) / len(kept) END, 6) AS e0,
-       round(CASE WHEN len(kept) = 0 THEN 0 ELSE coalesce(b, 0) / len(kept) END, 6) AS e1
+SELECT doc_id, round(CASE WHEN len(kept) = 0 THEN 0 ELSE coalesce(a, 0) / len(kept) END, 9) AS e0,
+       round(CASE WHEN len(kept) = 0 THEN 0 ELSE coalesce(b, 0) / len(kept) END, 9) AS e1
 FROM kept LEFT JOIN sums USING (doc_id)"""
 )
 def embed_from_table(spark, folder):
     """Document vectors from a table of word vectors (here derived from the words)."""
     kept = text.without_words(text.word_tokens(F.col("review_clean")), text.stopword_list())
     rows = clean_documents(spark, folder).select("doc_id", kept.alias("kept"))
-    digit = F.conv(F.substring(F.md5("word"), 1, 1), 16, 10).cast("double") / 7.0
+    digit = F.conv(F.substring(F.md5("word"), 1, 1), 16, 10).cast("double") / 9973.0
     words = rows.select(F.explode("kept").alias("word")).distinct().filter(F.length("word") % 3 != 0)
-    vectors = words.select("word", F.array(F.length("word") / 3.0, digit).alias("vector"))
+    vectors = words.select("word", F.array(F.length("word") / 9973.0, digit).alias("vector"))
     out = embed_by_join(rows, vectors, key="doc_id", tokens="kept", out="e", size=2)
-    return out.select("doc_id", *[F.round(F.get("e", F.lit(i)), 6).alias(f"e{i}") for i in range(2)])
+    return out.select("doc_id", *[F.round(F.get("e", F.lit(i)), 9).alias(f"e{i}") for i in range(2)])

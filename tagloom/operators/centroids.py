@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import array_column, cosine, dot, unit
 from tagloom.operators.contracts import require_columns, unrolled
+from tagloom.operators.joins import join_to_one
+
+# Centroids up to this number are a few megabytes and may be broadcast.
+MAX_BROADCAST_TAGS = 1_000
 
 
 def calibrate(
@@ -78,11 +82,12 @@ def own_centroid_similarity(
 ) -> DataFrame:
     """Cosine of each (row, tag) to the centroid of that tag; adds ``sim``.
 
-    Row-level form of what ``calibrate`` averages. The join carries no hint, so
-    the centroid side is broadcast only while it is small.
+    Row-level form of what ``calibrate`` averages. Centroids are broadcast once
+    their number is known to be small, otherwise joined by tag.
     """
     own = centroids.select(F.col("tag").alias(tag), F.col("centroid").alias("_centroid"))
-    joined = long.join(own, tag)
+    few = own.limit(MAX_BROADCAST_TAGS + 1).count() <= MAX_BROADCAST_TAGS
+    joined = long.join(F.broadcast(own), tag) if few else join_to_one(long, own, tag)
     return joined.withColumn("sim", cosine(array_column(joined, vector), F.col("_centroid"))).drop("_centroid")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.keys import row_key
 from tagloom.operators.contracts import in_order, not_null, require_columns, without_columns
+from tagloom.operators.joins import join_to_one
 from tagloom.sources import schemas
 
 # Fixed value: the rating from which a review counts as liked.
@@ -45,14 +46,10 @@ def gold_recipes(recipes: DataFrame) -> DataFrame:
 
 
 def gold_wide(reviews: DataFrame, recipes: DataFrame, key: str = "recipe_id") -> DataFrame:
-    """Reviews with their recipe's fields.
-
-    No broadcast hint: Spark broadcasts the recipe side when its size allows
-    and otherwise sort-merges, where adaptive execution splits a hot recipe.
-    """
+    """Reviews with their recipe's fields; a much-reviewed recipe is split."""
     require_columns(reviews, [key], "reviews")
     require_columns(recipes, [key], "recipes")
-    return in_order(reviews.join(recipes, key, "inner"), schemas.GOLD_WIDE)
+    return in_order(join_to_one(reviews, recipes, key), schemas.GOLD_WIDE)
 
 
 def vector_view(wide: DataFrame) -> DataFrame:
@@ -67,7 +64,7 @@ def ratings_view(wide: DataFrame) -> DataFrame:
 
 
 def attach_by_key(base: DataFrame, other: DataFrame, key: str = "review_key") -> DataFrame:
-    """Inner join on the row key, e.g. labels back onto reviews."""
+    """Inner join to a table with one row per key, e.g. labels onto reviews."""
     require_columns(base, [key], "base")
     require_columns(other, [key], "labels")
-    return base.join(other, key, "inner")
+    return join_to_one(base, other, key)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.text import stopword_list
 from tagloom.operators.contracts import unrolled, without_columns
+from tagloom.operators.joins import join_to_one
 
 
 @dataclass(frozen=True)
@@ -117,7 +118,7 @@ def tfidf_terms(df: DataFrame, key: str, tokens: str, *, min_doc_freq: int = 2)
     )
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.when(F.col("df") >= min_doc_freq, F.log((total + 1) / (F.col("df") + 1))).otherwise(0.0)
-    return counts.join(frequency, "term").select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
+    return join_to_one(counts, frequency, "term").select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
 
 
 def top_terms(df: DataFrame, tokens: str, n: int = 10) -> DataFrame:
@@ -205,12 +206,11 @@ def embed_by_join(
     """``embed`` for word vectors kept as a (word, vector) table of any size.
 
     Repeats of a word within a row collapse before the join, and sums are
-    combined on the map side. The join is unhinted: small tables broadcast, large
-    ones shuffle with hot words split by adaptive execution. Words without a
+    combined on the map side; a word in very many rows is split. Words without a
     vector count in the mean as zeros, rows without known words give zeros.
     """
     words = document_terms(df, key, tokens).withColumnRenamed("term", "word")
-    known = words.join(vectors.select("word", F.col("vector").cast("array<double>").alias("vector")), "word")
+    known = join_to_one(words, vectors.select("word", F.col("vector").cast("array<double>").alias("vector")), "word")
     weighted = Summarizer.sum(array_to_vector("vector"), F.col("tf").cast("double"))
     sums = known.groupBy(key).agg(vector_to_array(weighted).alias("total"))
     length = F.size(F.col(tokens))

@@ -28,7 +28,7 @@ def main() -> None:
             else:
                 problems = [] if QUERIES[name](spark, folder).collect() else ["no rows"]
         except Exception as error:
-            problems = [repr(error)[:600]]
+            problems = [str(error)[:600], *str(error).split("Caused by")[1:4]]
             if len(names) < 4:
                 traceback.print_exc()
         kind = "sql" if name in SQL else "rows"

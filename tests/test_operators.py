@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import cosine
 from tagloom.operators import (
-    balancing, centroids, cleaning, conflicts, contracts, evaluation, gold, labels, reports,
+    balancing, centroids, cleaning, conflicts, contracts, evaluation, gold, joins, labels, reports,
     scoring, selection, splits, taxonomy, training, weak_labels,
 )
 
@@ -75,6 +75,19 @@ def test_gold_reviews_collapse_copies(spark):
     assert sorted(r["rating"] for r in found) == [4.0, 5.0] and found[0]["review_key"] == found[1]["review_key"]
 
 
+def test_hot_keys_are_split_without_changing_the_join(spark):
+    many = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id")
+    one = spark.range(45).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        split = joins.join_to_one(many, one, "k", how, broadcast_bytes=0)
+        plain = many.join(one, "k", how)
+        assert split.columns == plain.columns and split.exceptAll(plain).count() == plain.exceptAll(split).count() == 0
+    frequent = {r["k"]: r["_parts"] for r in joins._frequent_keys(many, "k").collect()}
+    assert frequent == {7: 3}
+    with pytest.raises(ValueError):
+        joins.join_to_one(many, one, "k", "full")
+
+
 def test_views(spark):
     df = spark.createDataFrame([("u", "r", 5.0, "x")], "user_id string, recipe_id string, rating double, review string")
     assert gold.vector_view(df).columns == ["recipe_id", "rating"]
