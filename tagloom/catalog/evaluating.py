@@ -203,16 +203,27 @@ def minmax_scale(spark, folder):
     return scaled.select("o_orderkey", F.round(value, 6).alias("scaled"))
 
 
-@query()
+def sql_balanced(pick: str) -> str:
+    """Rows of each class repeated towards the smallest or largest class."""
+    return f"""
+WITH r AS (SELECT o_orderkey, o_orderstatus, {sql_unit_hash('o_orderkey')} AS u FROM orders),
+have AS (SELECT o_orderstatus, count(*) AS m FROM r GROUP BY o_orderstatus),
+ratio AS (SELECT o_orderstatus, (SELECT {pick}(m) FROM have) / m::DOUBLE AS q FROM have),
+copies AS (SELECT o_orderkey, o_orderstatus, CAST(floor(q) AS INTEGER) + CAST(u < q - floor(q) AS INTEGER) AS k
+           FROM r JOIN ratio USING (o_orderstatus))
+SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey, o_orderstatus, unnest(range(k)) FROM copies)"""
+
+
+@query(sql_balanced("min"))
 def undersample_majority(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    return undersample(orders, "o_orderstatus", "o_orderkey")
+    return undersample(orders, "o_orderstatus", "o_orderkey", method="md5")
 
 
-@query()
+@query(sql_balanced("max"))
 def oversample_minority(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    return oversample(orders, "o_orderstatus", "o_orderkey")
+    return oversample(orders, "o_orderstatus", "o_orderkey", method="md5")
 
 
 @query(

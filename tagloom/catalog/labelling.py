@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from tagloom.catalog.bindings import CORPUS_TAXONOMY, WEAK_CONFIG, WEAK_LABELS_SQL
+from tagloom.catalog.bindings import CORPUS_TAXONOMY, WEAK_CONFIG, WEAK_LABELS_SQL, sql_strings
 from tagloom.catalog.registry import query, table
 from tagloom.operators import reports, weak_labels
 from tagloom.operators.selection import without_keys
 from tagloom.plans.labelling import choose, label_pending
 from tagloom.sources.storage import materialise, scratch_path, write_table
 
+SAMPLE = 100
 POLARITY_VALUES = ", ".join(f"('{t}', '{p}')" for t, p in CORPUS_TAXONOMY.polarity.items())
 
 
@@ -131,21 +134,46 @@ def resumable_labelling(spark, folder):
     return spark.read.parquet(out).select("doc_id", F.array_join("zs_labels", ",").alias("labels"))
 
 
-@query()
+@query(
+    rf"""
+SELECT doc_id, token_count FROM (
+  SELECT doc_id, CAST(len(regexp_split_to_array(text, '\s+')) AS INTEGER) AS token_count FROM documents)
+WHERE token_count >= {WEAK_CONFIG.min_tokens}
+ORDER BY md5('{WEAK_CONFIG.seed}::' || doc_id), doc_id LIMIT {SAMPLE}"""
+)
 def labelling_input(spark, folder):
-    """The sample a labelling run would be given, with the default settings."""
-    docs = table(spark, folder, "documents").select(F.col("doc_id"), "text")
-    return choose(docs, WEAK_CONFIG)
+    """The sample a labelling run would be given."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return choose(docs, replace(WEAK_CONFIG, sample_n=SAMPLE)).select("doc_id", "token_count")
+
+
+def prompt_words(hypothesis: str) -> list[str]:
+    prompt = weak_labels.HYPOTHESIS_TEMPLATE.format(hypothesis)
+    return sorted(set(prompt.lower().rstrip(".").split(" ")))
 
 
-@query()
+def sql_prompt_score(tag: str) -> str:
+    parts = [
+        f"len(list_intersect(w, {sql_strings(words)})) / {len(words)}.0::DOUBLE"
+        for words in map(prompt_words, CORPUS_TAXONOMY.hypotheses_of(tag))
+    ]
+    return f"SELECT doc_id, '{tag}' AS tag, round(greatest({', '.join(parts)}), 6) AS score FROM words"
+
+
+@query(
+    "WITH words AS (SELECT doc_id, list_distinct(string_split(lower(text), ' ')) AS w FROM documents) "
+    + " UNION ALL ".join(sql_prompt_score(t) for t in CORPUS_TAXONOMY.ids)
+)
 def plugged_in_scorer(spark, folder):
-    """A scorer object loaded once per task, here counting shared characters."""
+    """A scorer loaded once per task: the share of a prompt's words in the text."""
 
     def load():
-        def score(texts, hypotheses):
-            return [[len(set(t) & set(h)) / len(set(h)) for h in hypotheses] for t in texts]
+        def score(texts, prompts):
+            words = [set(p.lower().rstrip(".").split(" ")) for p in prompts]
+            return [[len(w & set(t.lower().split(" "))) / len(w) for w in words] for t in texts]
 
         return score
 
-    return weak_labels.label(table(spark, folder, "documents"), WEAK_CONFIG, load)
+    rows = weak_labels.parse_scores(weak_labels.label(table(spark, folder, "documents"), WEAK_CONFIG, load))
+    long = rows.select("doc_id", F.explode("tag_scores").alias("tag", "score"))
+    return long.withColumn("score", F.round("score", 6))

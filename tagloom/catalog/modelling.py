@@ -13,7 +13,7 @@ from tagloom.catalog.registry import query, table
 from tagloom.operators.gold import attach_by_key, with_review_key
 from tagloom.operators.labels import multi_hot
 from tagloom.operators.text_features import (
-    TextSpec, Word2VecSpec, count_vectorizer, embed, fit_word2vec, nearest_words, token_stages,
+    TextSpec, Word2VecSpec, capped_tfidf_stages, embed, fit_word2vec, nearest_words, token_stages,
 )
 from tagloom.operators.training import evaluate_per_tag, fit_per_tag, grid_search
 from tagloom.operators.weak_labels import label
@@ -45,10 +45,10 @@ def word2vec_neighbours(spark, folder):
 
 @query()
 def capped_vocabulary_tfidf(spark, folder):
-    """Counts over the most frequent third of the terms."""
+    """TF-IDF over the most frequent third of the terms."""
     tokens = _tokens(spark, folder)
-    model = count_vectorizer(tokens, "tokens_all", "counts", share=0.33).fit(tokens)
-    return model.transform(tokens).select("doc_id", "counts")
+    model = capped_tfidf_stages(tokens, "tokens_all", "tfidf", share=0.33).fit(tokens)
+    return model.transform(tokens).select("doc_id", "tfidf")
 
 
 @query()

@@ -44,16 +44,20 @@ def resample(
     return df.withColumn("_copy", F.explode(repeated)).drop("_copy")
 
 
-def undersample(df: DataFrame, label: str, key: str, *, seed: int = 42) -> DataFrame:
+def undersample(
+    df: DataFrame, label: str, key: str, *, seed: int = 42, method: str = "xxhash64"
+) -> DataFrame:
     """Every class cut to about the size of the smallest."""
     sizes = class_sizes(df, label)
-    return resample(df, label, dict.fromkeys(sizes, min(sizes.values())), key, seed=seed)
+    return resample(df, label, dict.fromkeys(sizes, min(sizes.values())), key, seed=seed, method=method)
 
 
-def oversample(df: DataFrame, label: str, key: str, *, seed: int = 42) -> DataFrame:
+def oversample(
+    df: DataFrame, label: str, key: str, *, seed: int = 42, method: str = "xxhash64"
+) -> DataFrame:
     """Every class repeated to about the size of the largest."""
     sizes = class_sizes(df, label)
-    return resample(df, label, dict.fromkeys(sizes, max(sizes.values())), key, seed=seed)
+    return resample(df, label, dict.fromkeys(sizes, max(sizes.values())), key, seed=seed, method=method)
 
 
 def fit_min_max(train: DataFrame, columns: Sequence[str], out: str = "scaled") -> PipelineModel:

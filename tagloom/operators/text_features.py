@@ -107,15 +107,12 @@ def tfidf_terms(df: DataFrame, key: str, tokens: str, *, min_doc_freq: int = 2)
     """Readable TF-IDF: (key, term, tf, df, tfidf), unhashed.
 
     idf = ln((N + 1) / (df + 1)), 0 below ``min_doc_freq``. ``key`` must be
-    unique. Document frequency is counted per distinct term of a row, so it
-    needs no second pass over the (key, term) counts.
+    unique. Document frequency is counted over the (key, term) counts, whose
+    shuffle Spark then reuses: tokens are made once.
     """
     counts = document_terms(df, key, tokens)
-    frequency = (
-        unrolled(df, [], F.array_distinct(F.col(tokens)), "term")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    # Counting by tf keeps that column in this branch too, so both are one shuffle.
+    frequency = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.when(F.col("df") >= min_doc_freq, F.log((total + 1) / (F.col("df") + 1))).otherwise(0.0)
     return join_to_one(counts, frequency, "term").select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
@@ -132,17 +129,18 @@ def vocabulary_size(df: DataFrame, tokens: str, min_count: int = 1) -> int:
     return counts.filter(F.col("n") >= min_count).count()
 
 
-def count_vectorizer(
+def capped_tfidf_stages(
     df: DataFrame, tokens: str, out: str, *, share: float, max_vocabulary: int = 5_000_000
-) -> CountVectorizer:
-    """Term counts over the most frequent ``share`` of the distinct terms.
+) -> Pipeline:
+    """TF-IDF over the most frequent ``share`` of the distinct terms of ``df``.
 
     The vocabulary lives on the driver, so a larger one than ``max_vocabulary``
     is refused: use ``tfidf_stages`` there.
     """
     size = max(1, int(share * vocabulary_size(df, tokens)))
     _check_vocabulary(size, max_vocabulary)
-    return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size)
+    counts = CountVectorizer(inputCol=tokens, outputCol=f"{out}_tf", vocabSize=size)
+    return Pipeline(stages=[counts, IDF(inputCol=f"{out}_tf", outputCol=out)])
 
 
 def _check_vocabulary(size: int, limit: int) -> None:

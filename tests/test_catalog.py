@@ -35,23 +35,6 @@ def test_xxhash_split_keeps_entities_whole(spark):
     assert rows.groupBy("source").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
 
 
-def test_labelling_input_is_whole_when_small(spark):
-    assert QUERIES["labelling_input"](spark, FOLDER).filter("token_count < 15").count() == 0
-
-
-def test_plugged_in_scorer(spark):
-    rows = QUERIES["plugged_in_scorer"](spark, FOLDER)
-    assert rows.count() == rows.select("doc_id").distinct().count() > 0
-
-
-def test_resampled_sizes(spark):
-    for name, pick in (("undersample_majority", min), ("oversample_minority", max)):
-        orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
-        before = [r["count"] for r in orders.groupBy("o_orderstatus").count().collect()]
-        after = [r["count"] for r in QUERIES[name](spark, FOLDER).groupBy("o_orderstatus").count().collect()]
-        assert all(abs(n - pick(before)) <= 0.15 * pick(before) for n in after)
-
-
 def test_hashed_tfidf_and_vocabulary(spark):
     assert QUERIES["tfidf_hashed"](spark, FOLDER).count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
     assert QUERIES["capped_vocabulary_tfidf"](spark, FOLDER).count() > 0

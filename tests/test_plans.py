@@ -165,7 +165,7 @@ def test_tfidf(spark):
     assert found[1, "b"] == 0.0 and abs(found[1, "a"] - 2 * 0.28768207245178085) < 1e-12
     spec = TextSpec(terms="t", hash_buckets=16)
     assert text_features.tfidf_stages(spec).fit(df).transform(df).count() == 3
-    counted = text_features.count_vectorizer(df, "t", "c", share=0.5).fit(df)
-    assert counted.vocabulary == ["a"]
+    capped = text_features.capped_tfidf_stages(df, "t", "c", share=0.5).fit(df)
+    assert capped.stages[0].vocabulary == ["a"] and capped.transform(df).count() == 3
     with pytest.raises(ValueError):
-        text_features.count_vectorizer(df, "t", "c", share=1.0, max_vocabulary=1)
+        text_features.capped_tfidf_stages(df, "t", "c", share=1.0, max_vocabulary=1)
