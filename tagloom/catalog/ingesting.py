@@ -69,7 +69,7 @@ def csv_untyped_scan(spark, folder):
     "UNION ALL SELECT 'quarantined', count(*) FROM documents WHERE doc_id % 31 = 0"
 )
 def landed_counts(spark, folder):
-    """Land a CSV as parquet, count it while writing, split off corrupt records."""
+    """Land a CSV as parquet, count it, split off corrupt records."""
     path = scratch_path(spark, "bronze")
     rows = land(csv_files.scan_interactions(spark, _reviews_csv(spark, folder)), path)
     good, bad = csv_files.split_corrupt(scan(spark, path))

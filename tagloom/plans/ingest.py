@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators import cleaning, gold
 from tagloom.sources import csv_files
@@ -25,11 +24,15 @@ class Layers:
         raise AttributeError(name)
 
 
-def land(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write and count in the same pass; returns the row count."""
-    seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode=mode)
-    return seen.get["rows"]
+def land(df: DataFrame, path: str) -> int:
+    """Write, then count what was written; returns the row count.
+
+    The source is read once: counting a parquet table reads only file footers.
+    (An ``Observation`` would count during the write, but a session that used one
+    can no longer apply classifiers that carry a training summary.)
+    """
+    write_table(df, path)
+    return scan(df.sparkSession, path).count()
 
 
 def land_bronze(spark: SparkSession, recipes_csv: str, interactions_csv: str, layers: Layers) -> tuple[int, int]:
