@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tagloom.catalog.bindings import CORPUS_TAXONOMY, WEAK_CONFIG, WEAK_LABELS_SQL, sql_strings
 from tagloom.catalog.registry import query, table
 from tagloom.operators import reports, weak_labels
+from tagloom.operators.contracts import unrolled_map
 from tagloom.operators.selection import without_keys
 from tagloom.plans.labelling import choose, label_pending
 from tagloom.sources.storage import materialise, scratch_path, write_table
@@ -30,7 +31,7 @@ def _labelled(spark, folder):
 def tag_max_score(spark, folder):
     """Best hypothesis per tag, inside the row."""
     scores = weak_labels.tag_scores(F.col("scores"), CORPUS_TAXONOMY)
-    rows = _hypothesis_scores(spark, folder).select("doc_id", F.explode(scores).alias("tag", "score"))
+    rows = unrolled_map(_hypothesis_scores(spark, folder), ["doc_id"], scores, "tag", "score")
     return rows.withColumn("score", F.round("score", 6))
 
 
@@ -38,9 +39,8 @@ def tag_max_score(spark, folder):
 def tag_max_score_from_rows(spark, folder):
     """The same from one row per (document, hypothesis)."""
     names = F.array(*[F.lit(h) for h in CORPUS_TAXONOMY.hypotheses])
-    long = _hypothesis_scores(spark, folder).select(
-        "doc_id", F.inline(F.arrays_zip(names.alias("hypothesis"), F.col("scores").alias("score")))
-    )
+    pairs = F.map_from_arrays(names, F.col("scores"))
+    long = unrolled_map(_hypothesis_scores(spark, folder), ["doc_id"], pairs, "hypothesis", "score")
     return weak_labels.roll_up(long, CORPUS_TAXONOMY, "doc_id").withColumn("score", F.round("score", 6))
 
 
@@ -65,7 +65,7 @@ def assign_with_fallback(spark, folder):
 @query(f"WITH {WEAK_LABELS_SQL} SELECT doc_id, tag, round(score, 6) AS score FROM tag_scores")
 def score_json_roundtrip(spark, folder):
     rows = weak_labels.parse_scores(_labelled(spark, folder))
-    long = rows.select("doc_id", F.explode("tag_scores").alias("tag", "score"))
+    long = unrolled_map(rows, ["doc_id"], "tag_scores", "tag", "score")
     return long.withColumn("score", F.round("score", 6))
 
 
@@ -175,5 +175,5 @@ def plugged_in_scorer(spark, folder):
         return score
 
     rows = weak_labels.parse_scores(weak_labels.label(table(spark, folder, "documents"), WEAK_CONFIG, load))
-    long = rows.select("doc_id", F.explode("tag_scores").alias("tag", "score"))
+    long = unrolled_map(rows, ["doc_id"], "tag_scores", "tag", "score")
     return long.withColumn("score", F.round("score", 6))

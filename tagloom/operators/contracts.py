@@ -47,6 +47,12 @@ def unrolled(df: DataFrame, keep: Sequence[str], array: str | Column, name: str)
     return df.select(*keep, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
 
 
+def unrolled_map(df: DataFrame, keep: Sequence[str], entries: str | Column, key: str, value: str) -> DataFrame:
+    """``unrolled`` for a map column: one row per entry."""
+    values = F.col(entries) if isinstance(entries, str) else entries
+    return df.select(*keep, F.explode_outer(values).alias(key, value)).filter(F.col(key).isNotNull())
+
+
 def keep_or_derive(df: DataFrame, name: str, derived: Column) -> DataFrame:
     """Keep values already in the column and derive the missing ones."""
     if name in df.columns:

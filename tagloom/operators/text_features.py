@@ -153,7 +153,8 @@ def _check_vocabulary(size: int, limit: int) -> None:
 @dataclass(frozen=True)
 class Word2VecSpec:
     """Default settings are fixed values. ``partitions`` is the training
-    parallelism: more is faster, each shard then sees less per iteration."""
+    parallelism, by default one shard per core: more is faster, each shard then
+    sees less per iteration."""
 
     tokens: str = "tokens_all"
     out: str = "review_embeddings"
@@ -162,7 +163,7 @@ class Word2VecSpec:
     min_count: int = 5
     iterations: int = 15
     seed: int = 42
-    partitions: int = 8
+    partitions: int | None = None
     max_vocabulary: int = 5_000_000
 
 
@@ -180,13 +181,11 @@ def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str
     """
     usable = df.filter(F.size(F.col(spec.tokens)) > 0).select(*([key] if key else []), spec.tokens)
     _check_vocabulary(vocabulary_size(usable, spec.tokens, spec.min_count), spec.max_vocabulary)
-    if key:
-        shards = usable.repartition(spec.partitions, key).sortWithinPartitions(key)
-    else:
-        shards = usable.repartition(spec.partitions)
+    parts = spec.partitions or df.sparkSession.sparkContext.defaultParallelism
+    shards = usable.repartition(parts, key).sortWithinPartitions(key) if key else usable.repartition(parts)
     trainer = Word2Vec(
         inputCol=spec.tokens, outputCol=spec.out, vectorSize=spec.size, windowSize=spec.window,
-        minCount=spec.min_count, maxIter=spec.iterations, seed=spec.seed, numPartitions=spec.partitions,
+        minCount=spec.min_count, maxIter=spec.iterations, seed=spec.seed, numPartitions=parts,
     )
     return trainer.fit(shards)
 
