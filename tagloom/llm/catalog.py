@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import simhash
+from tagloom.llm import bpe, packing, shards, simhash
 from tagloom.llm.common import table
+from tagloom.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,3 +37,28 @@ def hex64(name: str) -> Column:
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, distance=4)
     return found.select("doc_id", hex64("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query()
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op5_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    path = shards.write_shards(table(spark, folder, "documents"), scratch_path(spark, "shards"), tokenizer, 2)
+    return shards.read_shards(spark, path).withColumnRenamed("key", "doc_id")
+
+
+@query()
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, folder, "documents"), tokenizer, 1, size=2048)
