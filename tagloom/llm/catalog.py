@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, packing, shards, simhash
+from tagloom.llm import bpe, links, packing, shards, simhash, sketches, vectors
 from tagloom.llm.common import table
 from tagloom.sources.storage import scratch_path
 
@@ -62,3 +62,28 @@ def op5_token_shards(spark: SparkSession, folder: str) -> DataFrame:
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, folder, "documents"), tokenizer, 1, size=2048)
+
+
+#: Rules of the url query, as its contract states them.
+URL_RULES = (
+    links.Rule("allow", "com", "/"),
+    links.Rule("block", "example.com", "/en/"),
+    links.Rule("allow", "www.example.com", "/en/"),
+    links.Rule("block", "net", "/es/"),
+    links.Rule("block", "net", "/fr/"),
+)
+
+
+@query()
+def op7_link_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return links.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+@query()
+def op9_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.compare_edited(table(spark, folder, "documents"))
+
+
+@query()
+def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), cosine=0.98)
