@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, links, packing, shards, simhash, sketches, vectors
+from tagloom.llm import bpe, links, packing, quality, shards, simhash, sketches, toxicity, vectors
 from tagloom.llm.common import table
 from tagloom.sources.storage import scratch_path
 
@@ -87,3 +87,13 @@ def op9_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"), cosine=0.98)
+
+
+@query()
+def op3_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op8_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))

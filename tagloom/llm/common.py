@@ -43,17 +43,28 @@ def record(columns: Sequence[Sequence], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-class BoundedCache(dict):
-    """Memo of at most about ``entries`` values; starts anew when full.
+def unknown(memo: dict, wanted: set, limit: int) -> set:
+    """Which of ``wanted`` the memo lacks; a memo that would outgrow ``limit`` starts anew first.
 
     Words follow a steep frequency curve, so a fresh start costs little and the
-    cached results are the same: the bound is on memory alone.
+    results are the same: the bound is on memory alone. The memo must be a plain
+    dict, whose difference costs as much as ``wanted`` and not as the memo.
     """
+    new = wanted.difference(memo)
+    if len(memo) + len(new) > limit:
+        memo.clear()
+        return wanted
+    return new
 
-    def __init__(self, entries: int):
-        super().__init__()
-        self.entries = entries
 
-    def make_room(self, coming: int = 1) -> None:
-        if len(self) + coming > self.entries:
-            self.clear()
+def usable_labels(labels: DataFrame, label: str, held_out: Column, key: str) -> DataFrame:
+    """(key, y): labels 0 and 1 of keys that are not null and not held out; of several the largest counts."""
+    known = labels.select(F.col(key), F.col(label).cast("int").alias("y")).filter("y IN (0, 1)")
+    return known.filter(F.col(key).isNotNull() & ~held_out).groupBy(key).agg(F.max("y").alias("y"))
+
+
+def sampled_texts(docs: DataFrame, known: DataFrame, rows: int, *, key: str, text: str) -> DataFrame:
+    """(t, y): texts of at most ``rows`` labelled keys, one each, chosen by a hash of the key."""
+    chosen = known.orderBy(F.xxhash64(key), key).limit(rows)
+    joined = docs.select(key, text_bytes(text).alias("t")).join(F.broadcast(chosen), key)
+    return joined.groupBy(key).agg(F.min("t").alias("t"), F.max("y").alias("y")).select("t", "y")

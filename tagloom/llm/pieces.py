@@ -16,7 +16,7 @@ from itertools import chain
 
 from tokenizers import Tokenizer
 
-from tagloom.llm.common import BoundedCache
+from tagloom.llm.common import unknown
 
 #: Entries of each memo; a matter of memory (about 200 bytes each), not of results.
 MEMO = 500_000
@@ -56,8 +56,10 @@ class PieceEncoder:
         whole: Callable[[Sequence[str]], Sequence[bytes]],
         memo: int = MEMO,
     ):
-        self.words, self.whole, self.width = words, whole, 4
-        self.known, self.first, self.marks = BoundedCache(memo), BoundedCache(memo // 20), BoundedCache(memo // 20)
+        self.words, self.whole, self.width, self.memo = words, whole, 4, memo
+        self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _learn(self, new: Iterable[str]) -> None:
         known, marked, odd, letters = self.known, [], [], []
@@ -78,11 +80,8 @@ class PieceEncoder:
         for unit, core, mark in marked:
             known[unit] = known[core] + marks[mark]
 
-    def _look(self, memo: BoundedCache, wanted: set[str]) -> BoundedCache:
-        new = list(wanted.difference(memo))
-        if len(memo) + len(new) > memo.entries:
-            memo.clear()
-            new = list(wanted)
+    def _look(self, memo: dict[str, bytes], wanted: set[str]) -> dict[str, bytes]:
+        new = list(unknown(memo, wanted, self.memo // 20))
         if new:
             memo.update(zip(new, self.whole(new), strict=True))
         return memo
@@ -94,11 +93,7 @@ class PieceEncoder:
         for x in cut:
             x[0] = first[x[0]]
         wanted = set(chain.from_iterable(x[1:] for x in cut))
-        new = wanted.difference(self.known)
-        if len(self.known) + 2 * len(new) > self.known.entries:
-            self.known.clear()
-            new = wanted
-        self._learn(new)
+        self._learn(unknown(self.known, wanted, self.memo))
         known = self.known.__getitem__
         return [x[0] + b"".join(map(known, x[1:])) for x in cut]
 
