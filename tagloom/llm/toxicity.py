@@ -29,8 +29,10 @@ FIT_ROWS = 3000
 CALIBRATE = 4
 #: Words of the windows compared.
 WINDOWS = (1, 3, 12)
-#: Taken off each count: so much of the smaller class's texts, and this at least.
-DISCOUNT_SHARE, LEAST_DISCOUNT = 0.01, 2.0
+#: What may be taken off each count; the one that calibrates best is taken.
+DISCOUNTS = (0.75, 1.5, 3.0, 6.0, 12.0, 24.0)
+#: How many times that is taken off the count of a pair.
+PAIR_FACTOR = 4
 #: How firmly the weights of the comparisons are held to zero.
 HOLD = 0.1
 MEMO = 300_000
@@ -58,16 +60,14 @@ class Model(NamedTuple):
     weights: np.ndarray  # of the highest window of each length, of the whole text, and the offset
 
 
-def kneser_ney(texts: list[bytes], labels: list[int], discount: float) -> Ratios:
-    """Interpolated Kneser-Ney of both classes down to a shared lowest order.
+class Counts(NamedTuple):
+    """Numbers of different predecessors of words and of pairs, by class."""
 
-    P_c(w) = max(n_c(w) - D, 0) / N_c + l_c S(w) and
-    P_c(w | h) = max(n_c(h, w) - D, 0) / n_c(h) + l_c(h) P_c(w). n_c(w) and
-    n_c(h, w) are numbers of different words before w and before h w in class c,
-    N_c and n_c(h) their sums, l the share that the discount took. S(w) is the
-    share of the different pairs of both classes that end in w, where every
-    word and the unknown word get one more.
-    """
+    names: list[bytes]
+    classes: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # pairs, n of words, pairs followed, n of pairs
+
+
+def counted(texts: list[bytes], labels: list[int]) -> Counts:
     number: dict[bytes, int] = {START: 0}
     rows = []
     for raw in texts:
@@ -77,7 +77,7 @@ def kneser_ney(texts: list[bytes], labels: list[int], discount: float) -> Ratios
         rows.append(np.fromiter(chain((0, 0), map(number.__getitem__, words)), np.int64, len(words) + 2))
     size = len(number)
     truth = np.array(labels)
-    per_class = []
+    classes = []
     for c in (0, 1):
         docs = [rows[k] for k in np.flatnonzero(truth == c)]
         flat = np.concatenate([*docs, np.zeros(2, np.int64)])
@@ -86,8 +86,23 @@ def kneser_ney(texts: list[bytes], labels: list[int], discount: float) -> Ratios
         lead = np.unique(flat[:-2] * size + flat[1:-1])
         triples = np.unique(np.searchsorted(lead, flat[:-2] * size + flat[1:-1]) * size + flat[2:])
         triples = triples[triples % size > 0]
-        kept, times = np.unique(lead[triples // size] % size * size + triples % size, return_counts=True)
-        per_class.append((pairs, np.bincount(pairs % size, minlength=size), kept, times))
+        codes, times = np.unique(lead[triples // size] % size * size + triples % size, return_counts=True)
+        classes.append((pairs, np.bincount(pairs % size, minlength=size), codes, times))
+    return Counts(list(number), classes)
+
+
+def kneser_ney(counts: Counts, discount: float) -> Ratios:
+    """Interpolated Kneser-Ney of both classes down to a shared lowest order.
+
+    P_c(w) = max(n_c(w) - D, 0) / N_c + l_c S(w) and
+    P_c(w | h) = max(n_c(h, w) - E, 0) / n_c(h) + l_c(h) P_c(w). n_c(w) and
+    n_c(h, w) are numbers of different words before w and before h w in class c,
+    N_c and n_c(h) their sums, l the share that the discount (D, or E for pairs)
+    took. S(w) is the share of the different pairs of both classes that end in
+    w, where every word and the unknown word get one more.
+    """
+    names, per_class = counts
+    size, pair_discount = len(names), PAIR_FACTOR * discount
     union = np.union1d(per_class[0][0], per_class[1][0])
     shared = (np.bincount(union % size, minlength=size) + 1) / (len(union) + size + 1)
     unigram, spread = [], []
@@ -100,21 +115,20 @@ def kneser_ney(texts: list[bytes], labels: list[int], discount: float) -> Ratios
     lost, firsts = [], []
     for _, _, codes, times in per_class:
         firsts.append(np.bincount(codes // size, times, size))
-        lost.append(np.bincount(codes // size, np.minimum(times, discount), size))
+        lost.append(np.bincount(codes // size, np.minimum(times, pair_discount), size))
     weight = [np.where(f > 0, x / np.maximum(f, 1), 1.0) for x, f in zip(lost, firsts, strict=True)]
-    strong = np.unique(np.concatenate([codes[times > discount] for _, _, codes, times in per_class]))
+    strong = np.unique(np.concatenate([codes[times > pair_discount] for _, _, codes, times in per_class]))
     first, second = strong // size, strong % size
     likely = []
     for c, (_, _, codes, times) in enumerate(per_class):
         at = np.minimum(np.searchsorted(codes, strong), max(0, len(codes) - 1))
         n = np.where(codes[at] == strong, times[at], 0) if len(codes) else np.zeros(len(strong))
-        likely.append(np.maximum(n - discount, 0) / np.maximum(firsts[c][first], 1) + weight[c][first] * unigram[c][second])
+        likely.append(np.maximum(n - pair_discount, 0) / np.maximum(firsts[c][first], 1) + weight[c][first] * unigram[c][second])
     ratio = np.log(likely[1] / likely[0])
     alive = np.maximum(per_class[0][1], per_class[1][1]) > discount
     alive[first] = alive[second] = True
     alive[0] = True
     new = np.cumsum(alive) - 1
-    names = list(number)
     kept = np.flatnonzero(alive)
     other = float(np.log(spread[1] / spread[0]))
     after = np.log(weight[1] / weight[0])
@@ -170,8 +184,8 @@ class Scorer:
         return made
 
 
-def calibrate(compared: np.ndarray, labels: np.ndarray, weights: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Logistic regression on the comparisons by Newton's method, lightly held to zero."""
+def calibrate(compared: np.ndarray, labels: np.ndarray, weights: np.ndarray, rounds: int = 50):
+    """Logistic regression on the comparisons by Newton's method, lightly held to zero; its weights and loss."""
     inputs = np.column_stack([compared, np.ones(len(compared))])
     beta = np.zeros(inputs.shape[1])
 
@@ -190,7 +204,7 @@ def calibrate(compared: np.ndarray, labels: np.ndarray, weights: np.ndarray, rou
         beta = beta + step * move
         if np.abs(step * move).max() < 1e-6:
             break
-    return beta
+    return beta, loss(beta)
 
 
 def train(texts: list[bytes], labels: list[int], weights: list[float]) -> Model:
@@ -199,18 +213,23 @@ def train(texts: list[bytes], labels: list[int], weights: list[float]) -> Model:
     if len(set(labels)) < 2:
         share = (truth.sum() + 0.5) / (len(truth) + 1)
         flat = [0.0] * (len(WINDOWS) + 1)
-        return Model(kneser_ney([], [], LEAST_DISCOUNT), np.array([*flat, np.log(share / (1 - share))]))
+        return Model(kneser_ney(counted([], []), DISCOUNTS[0]), np.array([*flat, np.log(share / (1 - share))]))
     aside = np.zeros(len(texts), bool)
     for c in (0, 1):
         aside[np.flatnonzero(truth == c)[CALIBRATE - 1 :: CALIBRATE]] = True
     if len(set(truth[aside])) < 2:
         aside[:] = False
-    counted = [k for k in range(len(texts)) if not aside[k]]
-    discount = max(LEAST_DISCOUNT, DISCOUNT_SHARE * np.bincount(truth[counted], minlength=2).min())
-    ratios = kneser_ney([texts[k] for k in counted], [labels[k] for k in counted], discount)
     used = np.flatnonzero(aside) if aside.any() else np.arange(len(texts))
-    compared = Scorer(ratios).compare([texts[k] for k in used])
-    return Model(ratios, calibrate(compared, truth[used], weight[used]))
+    learned = [k for k in range(len(texts)) if not aside[k]]
+    counts = counted([texts[k] for k in learned], [labels[k] for k in learned])
+    best = None
+    for discount in DISCOUNTS:
+        ratios = kneser_ney(counts, discount)
+        compared = Scorer(ratios).compare([texts[k] for k in used])
+        weights, loss = calibrate(compared, truth[used], weight[used])
+        if best is None or loss < best[0]:
+            best = loss, Model(ratios, weights)
+    return best[1]
 
 
 def chance(scorer: Scorer, weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
