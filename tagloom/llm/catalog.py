@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, links, packing, quality, shards, simhash, sketches, toxicity, vectors
+from tagloom.llm import bpe, links, lm, packing, quality, shards, simhash, sketches, toxicity, vectors
 from tagloom.llm.common import table
 from tagloom.sources.storage import scratch_path
 
@@ -97,3 +97,11 @@ def op3_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op2_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    scored = lm.score_folds(table(spark, folder, "documents"), path)
+    first = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select(*first, "attention_score")
