@@ -274,17 +274,18 @@ def fetch(spark: SparkSession, path: str, wanted: DataFrame, key: str = "key") -
     Keys meet the narrow directory of shards first; a shard is then read once
     for all its wanted keys. Of repeated keys the first row is returned.
     """
+    least = -(1 << 63)  # a range may begin with null keys
     shards = spark.read.parquet(path)
-    directory = shards.select("part", "shard", "first_key", "last_key")
+    directory = shards.select("part", "shard", F.coalesce("first_key", F.lit(least)).alias("first_key"), "last_key")
     edges = directory.groupBy("part").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"))
     parts = sorted((r["low"], r["high"], r["part"]) for r in edges.collect() if r["high"] is not None)
-    spans = F.array(*[F.struct(F.lit(a if a is not None else b).alias("a"), F.lit(b).alias("b"), F.lit(p).alias("p")) for a, b, p in parts]) if parts else None
+    spans = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(p).alias("p")) for a, b, p in parts]
     keys = wanted.select(F.col(key).cast("bigint").alias("k")).filter("k IS NOT NULL").distinct()
-    if spans is None:
+    if not spans:
         return _read(shards, True).select("key", "n_tokens", "ids").limit(0)
-    held = F.filter(spans, lambda s: (s["a"] <= F.col("k")) & (F.col("k") <= s["b"]))
+    held = F.filter(F.array(*spans), lambda s: (s["a"] <= F.col("k")) & (F.col("k") <= s["b"]))
     placed = keys.select("k", F.get(held, 0)["p"].alias("part")).filter("part IS NOT NULL")
-    inside = (F.col("k") >= F.coalesce("first_key", "last_key")) & (F.col("k") <= F.col("last_key"))
+    inside = F.col("k").between(F.col("first_key"), F.col("last_key"))
     asked = placed.join(directory, "part").filter(inside).groupBy("part", "shard").agg(F.collect_set("k").alias("keys"))
     lookups = shards.drop("keys", "repeats").join(asked, ["part", "shard"])
     lookups = lookups.withColumn("repeats", F.transform("keys", lambda _: F.lit(0).cast("bigint")))
