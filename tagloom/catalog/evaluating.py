@@ -228,19 +228,19 @@ def oversample_minority(spark, folder):
 
 @query(
     f"""
-WITH r AS (SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS stars,
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS stars,
                   {sql_unit_hash('o_orderkey')} AS u FROM orders),
 want(stars, n) AS (VALUES (1, 500), (2, 4000), (3, 1000), (4, 6000)),
 have AS (SELECT stars, count(*) AS m FROM r GROUP BY stars),
-ratio AS (SELECT stars, n / m::DOUBLE AS q FROM want JOIN have USING (stars)),
+ratio AS (SELECT stars, coalesce(n / m::DOUBLE, 1) AS q FROM have LEFT JOIN want USING (stars)),
 copies AS (SELECT o_orderkey, stars, CAST(floor(q) AS INTEGER) + CAST(u < q - floor(q) AS INTEGER) AS k
-           FROM r JOIN ratio USING (stars))
+           FROM r JOIN ratio USING (stars)
+           UNION ALL SELECT o_orderkey, stars, 1 FROM r WHERE stars IS NULL)
 SELECT o_orderkey, stars, count(*) AS n FROM (SELECT o_orderkey, stars, unnest(range(k)) FROM copies) GROUP BY ALL"""
 )
 def ordinal_resample(spark, folder):
-    """Star classes 1 to 4 brought to chosen sizes; class 5 goes."""
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("stars")
-    )
+    """Star classes 1 to 4 brought to chosen sizes; class 5 and rows without stars stay as they are."""
+    stars = F.when(F.col("o_orderkey") % 11 != 0, F.substring("o_orderpriority", 1, 1).cast("int"))
+    orders = table(spark, folder, "orders").select("o_orderkey", stars.alias("stars"))
     out = resample(orders, "stars", {1: 500, 2: 4000, 3: 1000, 4: 6000}, "o_orderkey", method="md5")
     return out.groupBy("o_orderkey", "stars").agg(F.count(F.lit(1)).alias("n"))

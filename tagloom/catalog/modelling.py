@@ -1,28 +1,38 @@
-"""Trained models over the supplied tables. Results depend on training, so
-these have invariants in the tests and no SQL."""
+"""Trained models over the supplied tables. What is learned depends on training, so
+these return what must hold whatever is learned, next to the SQL that states it."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tagloom.catalog.bindings import CORPUS_TAXONOMY, WEAK_CONFIG, clean_documents, labelled_vectors
+from tagloom.catalog.bindings import (
+    CALIBRATION_SQL, CLASS_TAGS, CORPUS_TAXONOMY, VECTORS_SQL, WEAK_CONFIG, WEAK_LABELS_SQL, clean_documents,
+    labelled_vectors, sql_split, sql_strings,
+)
 from tagloom.catalog.registry import query, table
+from tagloom.catalog.texts import SQL_TOKENS
+from tagloom.operators.centroids import calibrate, usable_vectors
 from tagloom.operators.gold import attach_by_key, with_review_key
 from tagloom.operators.labels import multi_hot
 from tagloom.operators.text_features import (
-    TextSpec, Word2VecSpec, capped_tfidf_stages, embed, fit_word2vec, nearest_words, token_stages,
+    TextSpec, Word2VecSpec, embed, fit_word2vec, nearest_words, token_stages, top_terms,
 )
+from tagloom.operators.taxonomy import NEGATION_PAIRS
 from tagloom.operators.training import evaluate_per_tag, fit_per_tag, grid_search
 from tagloom.operators.weak_labels import label
 from tagloom.plans import features as feature_plan
-from tagloom.plans.tagging import tag_corpus
+from tagloom.plans.tagging import recalibrate, tag_corpus
 from tagloom.plans.training import train_and_evaluate
 from tagloom.sources.storage import materialise, scratch_path, write_table
 
-SMALL = Word2VecSpec(size=16, min_count=5, iterations=1, partitions=8)
+# The design's vectors for a corpus: full width and iterations.
+VECTORS = Word2VecSpec(size=128)
 
 
 def _tokens(spark, folder):
@@ -31,52 +41,67 @@ def _tokens(spark, folder):
     return materialise(terms.select("doc_id", "tokens_all"), "tokens")
 
 
-@query()
+@query(f"WITH {SQL_TOKENS} SELECT doc_id, 128 AS dims, len(kept) = 0 AS tokenless FROM kept")
 def word2vec_embed(spark, folder):
+    """Vectors depend on training; their width does not, and rows without tokens have zeros."""
     tokens = _tokens(spark, folder)
-    vectors = embed(tokens, fit_word2vec(tokens, SMALL, key="doc_id"))
-    return vectors.select("doc_id", vector_to_array("review_embeddings").alias("embedding"))
+    embedded = embed(tokens, fit_word2vec(tokens, VECTORS, key="doc_id"))
+    values = vector_to_array("review_embeddings")
+    blank = (F.size("tokens_all") == 0) & ~F.exists(values, lambda x: x != 0)
+    return embedded.select("doc_id", F.size(values).alias("dims"), blank.alias("tokenless"))
 
 
-@query()
+@query("SELECT 5::BIGINT AS n, false AS itself, true AS bounded")
 def word2vec_neighbours(spark, folder):
-    return nearest_words(fit_word2vec(_tokens(spark, folder), SMALL, key="doc_id"), "rewh", 5)
-
-
-@query()
-def capped_vocabulary_tfidf(spark, folder):
-    """TF-IDF over the most frequent third of the terms."""
+    """Five neighbours of the commonest word, scored over the table of trained vectors."""
     tokens = _tokens(spark, folder)
-    model = capped_tfidf_stages(tokens, "tokens_all", "tfidf", share=0.33).fit(tokens)
-    return model.transform(tokens).select("doc_id", "tfidf")
+    word = top_terms(tokens, "tokens_all", 1).first()["term"]
+    found = nearest_words(fit_word2vec(tokens, VECTORS, key="doc_id").getVectors(), word, 5)
+    return found.agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("word") == word).alias("itself"),
+        F.bool_and(F.abs("similarity") <= 1.0).alias("bounded"),
+    )
 
 
-@query()
+@query(
+    f"""WITH {VECTORS_SQL}, tags AS (SELECT unnest({sql_strings(CLASS_TAGS)}) AS tag)
+SELECT t.tag, count(*) FILTER (WHERE v.tag = t.tag) AS positives, count(*) AS n, true AS valid
+FROM tags t, vectors v WHERE split = 'test' GROUP BY t.tag"""
+)
 def logistic_per_tag(spark, folder):
+    """A classifier for every class tag. Weights depend on training; test positives and sizes do not."""
     rows = labelled_vectors(spark, folder).withColumn("features", array_to_vector(F.col("features").cast("array<double>")))
-    tags = ["dry", "easy_quick", "family_hit"]
-    rows = materialise(multi_hot(rows, tags, "tags").select("split", "features", *[f"y_{t}" for t in tags]), "dataset")
+    truths = [f"y_{t}" for t in CLASS_TAGS]
+    rows = materialise(multi_hot(rows, CLASS_TAGS, "tags").select("split", "features", *truths), "dataset")
     part = {s: rows.filter(F.col("split") == s) for s in ("train", "val", "test")}
-    return evaluate_per_tag(part["val"], part["test"], fit_per_tag(part["train"], tags))
+    return _facts(evaluate_per_tag(part["val"], part["test"], fit_per_tag(part["train"], CLASS_TAGS)))
 
 
-@query()
-def grid_search_auc(spark, folder):
-    """(reg_param, auc) of a cross-validated search."""
-    rows = labelled_vectors(spark, folder).select(
-        (F.col("tag") == "dry").cast("double").alias("label"),
-        array_to_vector(F.col("features").cast("array<double>")).alias("features"),
+def _facts(report):
+    """What holds of a report whatever was learned."""
+    return report.select(
+        "tag", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n"),
+        F.col("f1").between(0.0, 1.0).alias("valid"),
     )
-    trainer = LogisticRegression(maxIter=10)
-    values = [0.0, 0.1]
-    found = grid_search(
-        materialise(rows, "grid"), trainer, {trainer.regParam: values}, BinaryClassificationEvaluator(numBins=0), folds=2
+
+
+@query("SELECT * FROM (VALUES (0.0::DOUBLE, true), (0.1::DOUBLE, true), (1.0::DOUBLE, true)) AS t(reg_param, valid)")
+def grid_search_auc(spark, folder):
+    """A cross-validated search over the whole table; mean areas depend on training, their range does not."""
+    rows = materialise(
+        labelled_vectors(spark, folder).select(
+            (F.col("tag") == "dry").cast("double").alias("label"),
+            array_to_vector(F.col("features").cast("array<double>")).alias("features"),
+        ),
+        "grid",
     )
-    scores = F.array(*[F.struct(F.lit(v).alias("reg_param"), F.lit(a).alias("auc")) for v, a in zip(values, found.avgMetrics)])
-    return rows.agg(scores.alias("found")).select(F.inline("found"))
+    trainer = LogisticRegression(maxIter=50)
+    values = [0.0, 0.1, 1.0]
+    found = grid_search(rows, trainer, {trainer.regParam: values}, BinaryClassificationEvaluator(numBins=0), folds=3, parallelism=3)
+    return spark.createDataFrame([(v, bool(0.0 <= a <= 1.0)) for v, a in zip(values, found.avgMetrics, strict=True)], "reg_param double, valid boolean")
 
 
-def _run(spark, folder, tfidf=False):
+def _run(spark, folder, tfidf=False, train_only=False, method="xxhash64"):
     """A whole run on documents: weak labels, features, centroids."""
     base = scratch_path(spark, "run")
     docs = table(spark, folder, "documents").select(
@@ -91,32 +116,96 @@ def _run(spark, folder, tfidf=False):
     stored = spark.read.parquet(f"{base}/reviews")
     weak = label(docs, WEAK_CONFIG).select("doc_id", "zs_labels")
     write_table(attach_by_key(stored, weak, "doc_id"), f"{base}/labelled")
-    plan = feature_plan.FeaturePlan.on_corpus(
-        f"{base}/reviews", labels=CORPUS_TAXONOMY.ids, vectors=SMALL, tfidf=tfidf
-    )
+    settings = {"labels": CORPUS_TAXONOMY.ids, "vectors": VECTORS, "tfidf": tfidf, "split_hash": method}
+    plan = feature_plan.FeaturePlan(**settings) if train_only else feature_plan.FeaturePlan.on_corpus(f"{base}/reviews", **settings)
     return base, feature_plan.build(spark, f"{base}/labelled", base, plan)
 
 
-@query()
+@query(
+    "SELECT 'split_count' AS name, count(*)::DOUBLE AS total, true AS shares FROM documents "
+    f"UNION ALL SELECT 'label_prevalence', NULL, true UNION ALL SELECT 'tag_threshold', NULL, true"
+)
 def feature_run(spark, folder):
-    """Features, centroids and metrics of one run; returns its metric rows."""
+    """Metrics of one run: split sizes sum to the rows; prevalences and thresholds are shares."""
     base, run_id = _run(spark, folder, tfidf=True)
-    return spark.read.parquet(f"{base}/metrics").drop("run_id")
+    value, name = F.col("value"), F.col("name")
+    return spark.read.parquet(f"{base}/metrics").groupBy("name").agg(
+        F.sum(F.when(name == "split_count", value)).alias("total"),
+        F.bool_and((name == "split_count") | value.between(-1.0, 1.0)).alias("shares"),
+    )
+
+
+def _tagged_facts(gold):
+    """Per document what holds whatever was learned: lists agree with totals, no pair contradicts."""
+    clash = [(F.col(f"pred_{a}") == 1) & (F.col(f"pred_{b}") == 1) for a, b in NEGATION_PAIRS if f"pred_{a}" in gold.columns and f"pred_{b}" in gold.columns]
+    listed = (F.size("tag_list") == F.col("total_tags")) & (F.col("total_tags") == sum((F.col(f"pred_{t}") for t in CORPUS_TAXONOMY.ids), F.lit(0)))
+    return gold.select("doc_id", listed.alias("listed"), reduce(or_, clash, F.lit(False)).alias("clash"))
 
 
-@query()
+@query("SELECT doc_id, true AS listed, false AS clash FROM documents")
 def corpus_tagging(spark, folder):
-    """Every document tagged with the models of a run."""
+    """Every document tagged with the models of a run, calibrated anew on its labelled rows."""
     base, run_id = _run(spark, folder)
     labelled = spark.read.parquet(f"{base}/labelled")
     out = tag_corpus(
         spark, base, run_id, f"{base}/reviews", f"{base}/gold", labelled=labelled, tags=CORPUS_TAXONOMY.ids
     )
-    return spark.read.parquet(out).drop("review_clean")
+    return _tagged_facts(spark.read.parquet(out))
 
 
-@query()
-def run_evaluation(spark, folder):
-    """Classifiers per tag trained, tuned and tested on a run's dataset."""
+@query("SELECT doc_id, true AS listed, false AS clash FROM documents")
+def stored_model_tagging(spark, folder):
+    """The same from the run's stored centroids and thresholds, of a run trained on its train split alone."""
+    base, run_id = _run(spark, folder, train_only=True)
+    out = tag_corpus(spark, base, run_id, f"{base}/reviews", f"{base}/gold", tags=CORPUS_TAXONOMY.ids)
+    return _tagged_facts(spark.read.parquet(out))
+
+
+@query("SELECT true AS run, true AS calibrations, true AS same_tags")
+def recalibrated_thresholds(spark, folder):
+    """Two calibrations of one run: each has one threshold per tag under its own id, the run keeps its own."""
     base, run_id = _run(spark, folder)
-    return train_and_evaluate(spark, base, run_id, tags=["english", "french"])
+    labelled = spark.read.parquet(f"{base}/labelled")
+    for _ in range(2):
+        recalibrate(spark, base, run_id, labelled, tags=CORPUS_TAXONOMY.ids)
+    found = spark.read.parquet(f"{base}/metrics").filter("name = 'tag_threshold'")
+    each = found.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("tag").alias("tags"))
+    own = F.col("run_id") == run_id
+    return each.agg(
+        F.bool_or(own).alias("run"), (F.count_if(~own) == 2).alias("calibrations"),
+        (F.bool_and(F.col("n") == F.col("tags")) & (F.min("tags") == F.max("tags"))).alias("same_tags"),
+    )
+
+
+@query(
+    f"""WITH {WEAK_LABELS_SQL}, tags AS (SELECT unnest({sql_strings(CORPUS_TAXONOMY.ids)}) AS tag), rows AS (
+  SELECT labels, {sql_split('source')} AS split FROM documents JOIN weak USING (doc_id))
+SELECT tag, count(*) FILTER (WHERE list_contains(labels, tag)) AS positives, count(*) AS n, true AS valid
+FROM tags, rows WHERE split = 'test' GROUP BY tag"""
+)
+def run_evaluation(spark, folder):
+    """Classifiers of every tag trained, tuned and tested on a run's dataset."""
+    base, run_id = _run(spark, folder, method="md5")
+    return _facts(train_and_evaluate(spark, base, run_id, tags=CORPUS_TAXONOMY.ids))
+
+
+@query(f"WITH {CALIBRATION_SQL} SELECT tag, pos_count, round(threshold, 6) AS threshold, 4::BIGINT AS refused FROM thresholds")
+def calibration_with_bad_vectors(spark, folder):
+    """Null vectors, null elements and wrong lengths among the rows are left out and counted."""
+    rows = labelled_vectors(spark, folder).select("tag", "split", "tags", F.col("features").cast("array<double>").alias("features"))
+    one = rows.limit(1).select("tag", F.lit("train").alias("split"), "tags", "features")
+    size = F.size("features")
+    bad = [F.lit(None).cast("array<double>"), F.slice("features", 1, 3), F.array_repeat(F.lit(None).cast("double"), size), F.concat("features", F.array(F.lit(1.0)))]
+    mixed = reduce(lambda a, b: a.unionByName(b), [one.withColumn("features", x) for x in bad], rows)
+    refused = usable_vectors(mixed, refused=True).agg(F.count(F.lit(1))).first()[0]
+    fitted = calibrate(mixed).select("tag", "pos_count", F.round("threshold", 6).alias("threshold"))
+    return fitted.withColumn("refused", F.lit(refused).cast("bigint"))
+
+
+@query(f"WITH {CALIBRATION_SQL} SELECT tag, pos_count, round(threshold, 6) AS threshold FROM thresholds")
+def calibration_from_columns(spark, folder):
+    """Centroids and thresholds from 0/1 columns, as a stored dataset has them."""
+    rows = labelled_vectors(spark, folder).select("vec_id", "split", "tags", "features")
+    stored = multi_hot(rows, CLASS_TAGS, "tags").drop("tags")
+    marked = F.array_compact(F.array(*[F.when(F.col(f"y_{t}") == 1, F.lit(t)) for t in CLASS_TAGS]))
+    return calibrate(stored.withColumn("tags", marked)).select("tag", "pos_count", F.round("threshold", 6).alias("threshold"))

@@ -8,7 +8,7 @@ from tagloom.catalog.bindings import LABELLED_DOCUMENTS_SQL, clean_documents, sq
 from tagloom.catalog.registry import query, table
 from tagloom.operators import gold, selection, splits
 from tagloom.operators.cleaning import with_min_tokens
-from tagloom.operators.joins import join_to_one
+from tagloom.operators.joins import join_split
 
 
 @query(
@@ -36,7 +36,33 @@ def hot_key_join(spark, folder):
         "l_orderkey", "l_linenumber", "l_suppkey",
     )
     dims = table(spark, folder, "part").select(F.col("p_partkey").alias("k"), "p_name")
-    return join_to_one(facts, dims, "k", broadcast_bytes=0)
+    return join_split(facts, dims, "k")
+
+
+@query(
+    "SELECT k, p_name, count(*) AS n FROM (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE l_partkey END AS k FROM lineitem) "
+    "JOIN part ON p_partkey = k GROUP BY ALL"
+)
+def hot_key_join_equal_rows(spark, folder):
+    """Half of the rows are equal in all columns."""
+    facts = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") % 2 == 0, 0).otherwise(F.col("l_partkey")).alias("k")
+    )
+    dims = table(spark, folder, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    return join_split(facts, dims, "k").groupBy("k", "p_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "SELECT k, l_orderkey, l_linenumber, p_name FROM (SELECT CASE WHEN l_linenumber % 5 = 0 THEN l_partkey END AS k, l_orderkey, l_linenumber "
+    "FROM lineitem) LEFT JOIN part ON p_partkey = k"
+)
+def hot_key_join_left_nulls(spark, folder):
+    """Most of the rows have no key and stay, unmatched."""
+    facts = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") % 5 == 0, F.col("l_partkey")).alias("k"), "l_orderkey", "l_linenumber"
+    )
+    dims = table(spark, folder, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    return join_split(facts, dims, "k", "left")
 
 
 @query("SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id)")
@@ -107,8 +133,9 @@ WHERE token_count >= 15 ORDER BY md5('42::' || doc_id), doc_id LIMIT 100"""
 )
 def hash_ordered_sample(spark, folder):
     """A fixed-size sample that does not depend on data layout."""
-    rows = with_min_tokens(clean_documents(spark, folder)).select("doc_id", "token_count")
-    return selection.sample_exactly(rows, 100, "doc_id", seed=42)
+    docs = clean_documents(spark, folder)
+    chosen = selection.sample_cut(with_min_tokens(docs).select("doc_id"), 100, "doc_id", seed=42)
+    return with_min_tokens(docs.filter(chosen)).select("doc_id", "token_count")
 
 
 @query("SELECT doc_id FROM labels WHERE toxic = 1 ORDER BY doc_id LIMIT 5")
@@ -123,11 +150,14 @@ def entity_split(spark, folder):
     return splits.assign_splits(docs, "source", method="md5")
 
 
-@query()
+@query("SELECT source, count(*) AS n, 1::BIGINT AS n_splits, true AS known FROM documents GROUP BY source")
 def entity_split_xxhash(spark, folder):
-    """The default hash; its values exist only in Spark."""
+    """The default hash: its values exist only in Spark, but every entity has one split."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    return splits.assign_splits(docs, "source")
+    return splits.assign_splits(docs, "source").groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("split").alias("n_splits"),
+        F.bool_and(F.col("split").isin("train", "val", "test")).alias("known"),
+    )
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom.catalog.bindings import clean_documents, raw_interactions, sql_clean, sql_strings
@@ -12,9 +13,10 @@ from tagloom.operators.cleaning import with_min_tokens, within_token_band
 from tagloom.operators.gold import with_review_key
 from tagloom.operators.selection import conflict_candidates
 from tagloom.operators.text_features import (
-    TextSpec, drop_token_columns, embed_by_join, tfidf_stages, tfidf_terms, token_stages, top_terms,
+    TextSpec, capped_tfidf_terms, drop_token_columns, embed_by_join, nearest_words, tfidf_stages, tfidf_terms,
+    token_stages, top_terms,
 )
-from tagloom.sources.storage import scratch_path
+from tagloom.sources.storage import materialise, scratch_path
 
 # Spark's 181 English stopwords, restated for the SQL side.
 STOPWORDS = """i me my myself we our ours ourselves you your yours yourself yourselves he him his
@@ -174,13 +176,19 @@ def tfidf_by_term(spark, folder):
     return tfidf_terms(rows, "doc_id", "kept").withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query()
+@query(
+    f"WITH {SQL_TOKENS} SELECT doc_id, CAST(len(kept) + greatest(len(kept) - 1, 0) AS DOUBLE) AS n_terms, true AS weighed FROM kept"
+)
 def tfidf_hashed(spark, folder):
-    """Hashed TF-IDF; only its shape is comparable across engines."""
+    """Hashed TF-IDF. Buckets exist only in Spark; the hashed counts of a row sum to its terms."""
     spec = TextSpec()
     docs = clean_documents(spark, folder).select("doc_id", "review_clean")
-    terms = token_stages(spec).fit(docs).transform(docs)
-    return tfidf_stages(spec).fit(terms).transform(terms).select("doc_id", spec.tfidf)
+    prepared = token_stages(spec).fit(docs).transform(docs)
+    terms = materialise(prepared.select("doc_id", spec.terms), "terms")
+    weighed = tfidf_stages(spec).fit(terms).transform(terms)
+    counts, weights = vector_to_array(f"{spec.tfidf}_tf"), vector_to_array(spec.tfidf)
+    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    return weighed.select("doc_id", total.alias("n_terms"), (F.size(weights) == spec.hash_buckets).alias("weighed"))
 
 
 # A word's vector here is (length, first digest digit) over a prime, so that no
@@ -205,3 +213,38 @@ def embed_from_table(spark, folder):
     vectors = words.select("word", F.array(F.length("word") / 9973.0, digit).alias("vector"))
     out = embed_by_join(rows, vectors, key="doc_id", tokens="kept", out="e", size=2)
     return out.select("doc_id", *[F.round(F.get("e", F.lit(i)), 9).alias(f"e{i}") for i in range(2)])
+
+
+@query(
+    f"""
+WITH {SQL_TOKENS},
+counts AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(kept) AS term FROM kept) GROUP BY ALL),
+totals AS (SELECT term, sum(tf) AS n, count(*) AS df FROM counts GROUP BY term),
+ranked AS (SELECT term, df, row_number() OVER (ORDER BY n DESC, term) AS place FROM totals),
+frequent AS (SELECT term, df FROM ranked WHERE place <= greatest(1, CAST(floor(0.33 * (SELECT count(*) FROM totals)) AS BIGINT)))
+SELECT doc_id, term, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS tfidf
+FROM counts JOIN frequent USING (term)"""
+)
+def capped_vocabulary_tfidf(spark, folder):
+    """TF-IDF over the most frequent third of the terms; the vocabulary is a table."""
+    kept = text.without_words(text.word_tokens(F.col("review_clean")), text.stopword_list())
+    rows = clean_documents(spark, folder).select("doc_id", kept.alias("kept"))
+    return capped_tfidf_terms(rows, "doc_id", "kept", share=0.33).withColumn("tfidf", F.round("tfidf", 6))
+
+
+@query(
+    f"""
+WITH {SQL_TOKENS},
+words AS (SELECT DISTINCT unnest(kept) AS word FROM kept),
+vectors AS (SELECT word, length(word)::DOUBLE AS a, ('0x' || substr(md5(word), 1, 2))::INTEGER::DOUBLE AS b FROM words),
+own AS (SELECT max(word) AS word, max_by(a, word) AS a, max_by(b, word) AS b FROM vectors)
+SELECT v.word, round((v.a * o.a + v.b * o.b) / (sqrt(v.a * v.a + v.b * v.b) * sqrt(o.a * o.a + o.b * o.b)), 9) AS similarity
+FROM vectors v, own o WHERE v.word <> o.word ORDER BY similarity DESC, v.word LIMIT 20"""
+)
+def word_neighbours(spark, folder):
+    """Words closest to the last word of the alphabet, over a table of vectors derived from the words."""
+    kept = text.without_words(text.word_tokens(F.col("review_clean")), text.stopword_list())
+    words = clean_documents(spark, folder).select(F.explode(kept).alias("word")).distinct()
+    digits = F.conv(F.substring(F.md5("word"), 1, 2), 16, 10).cast("double")
+    vectors = materialise(words.select("word", F.array(F.length("word").cast("double"), digits).alias("vector")), "vectors")
+    return nearest_words(vectors, vectors.agg(F.max("word")).first()[0], 20)

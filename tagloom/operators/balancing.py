@@ -10,54 +10,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.keys import unit_hash
+from tagloom.operators.joins import join_to_one
 
-# Class values read to the driver are a handful; more means a wrong column.
-MAX_CLASSES = 1_000
+def _repeated(
+    df: DataFrame, label: str, ratios: DataFrame, key: str, seed: int, method: str
+) -> DataFrame:
+    """Rows ``floor(ratio)`` times, plus once more with the remaining probability.
+
+    ``ratios`` has (label, _ratio); a row whose class it lacks, a null class
+    among them, stays once. The draw hashes ``key``, so it does not depend on
+    layout. Copies are made in place.
+    """
+    ratio = F.coalesce(F.col("_ratio"), F.lit(1.0))
+    draw = unit_hash(F.col(key), seed=seed, method=method)
+    copies = F.floor(ratio).cast("int") + (draw < ratio - F.floor(ratio)).cast("int")
+    joined = join_to_one(df, ratios, label, "left").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    return joined.select(*df.columns)
 
 
-def class_sizes(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"Column {label!r} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["count"] for r in rows if r[label] is not None}
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """(label, _size) of the classes; rows without a class are none."""
+    return df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
 
 
 def resample(
     df: DataFrame, label: str, target: Mapping, key: str, *, seed: int = 42, method: str = "xxhash64"
 ) -> DataFrame:
-    """Bring each class to about ``target[class]`` rows; other classes go.
+    """Bring the classes named in ``target`` to about that many rows.
 
-    A row is kept ``floor(ratio)`` times plus once more with the remaining
-    probability. The draw hashes ``key``, so it does not depend on layout and
-    needs no shuffle. Row copies are spread by the explode in place.
+    Other classes and rows without a class keep their size; only a target of 0
+    drops a class. ``key`` decides which rows are kept or repeated.
     """
-    sizes = class_sizes(df, label)
-    draw = unit_hash(F.col(key), seed=seed, method=method)
-    copies = F.lit(0)
-    for value, wanted in target.items():
-        if sizes.get(value):
-            ratio = wanted / sizes[value]
-            whole = int(ratio)
-            count = F.lit(whole) + (draw < ratio - whole).cast("int")
-            copies = F.when(F.col(label) == value, count).otherwise(copies)
-    repeated = F.array_repeat(F.lit(0), copies)
-    return df.withColumn("_copy", F.explode(repeated)).drop("_copy")
+    if not target:
+        return df
+    wanted = F.create_map(*[F.lit(x) for pair in target.items() for x in pair])
+    ratios = class_sizes(df, label).select(label, (F.try_element_at(wanted, F.col(label)) / F.col("_size")).alias("_ratio"))
+    return _repeated(df, label, ratios, key, seed, method)
 
 
 def undersample(
     df: DataFrame, label: str, key: str, *, seed: int = 42, method: str = "xxhash64"
 ) -> DataFrame:
-    """Every class cut to about the size of the smallest."""
+    """Every class cut to about the size of the smallest; rows without a class stay."""
     sizes = class_sizes(df, label)
-    return resample(df, label, dict.fromkeys(sizes, min(sizes.values())), key, seed=seed, method=method)
+    least = sizes.agg(F.min("_size")).scalar()
+    return _repeated(df, label, sizes.select(label, (least / F.col("_size")).alias("_ratio")), key, seed, method)
 
 
 def oversample(
     df: DataFrame, label: str, key: str, *, seed: int = 42, method: str = "xxhash64"
 ) -> DataFrame:
-    """Every class repeated to about the size of the largest."""
+    """Every class repeated to about the size of the largest; rows without a class stay."""
     sizes = class_sizes(df, label)
-    return resample(df, label, dict.fromkeys(sizes, max(sizes.values())), key, seed=seed, method=method)
+    most = sizes.agg(F.max("_size")).scalar()
+    return _repeated(df, label, sizes.select(label, (most / F.col("_size")).alias("_ratio")), key, seed, method)
 
 
 def fit_min_max(train: DataFrame, columns: Sequence[str], out: str = "scaled") -> PipelineModel:

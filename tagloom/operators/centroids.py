@@ -11,12 +11,24 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.vectors import array_column, cosine, dot, unit
+from tagloom.functions.vectors import array_column, cosine, dot, raw_array_column, unit
 from tagloom.operators.contracts import require_columns, unrolled
 from tagloom.operators.joins import join_to_one
 
-# Centroids up to this number are a few megabytes and may be broadcast.
-MAX_BROADCAST_TAGS = 1_000
+
+def usable_vectors(df: DataFrame, vector: str = "features", size: int | None = None, *, refused: bool = False) -> DataFrame:
+    """Rows whose vector is there, holds no null, and has ``size`` elements; with ``refused`` all others.
+
+    Without ``size`` the commonest length counts, the shorter of equal ones.
+    """
+    values = raw_array_column(df, vector)
+    length = F.lit(size)
+    if size is None:
+        lengths = df.filter(F.col(vector).isNotNull()).groupBy(F.size(values).alias("length")).count()
+        length = lengths.agg(F.max_by("length", F.struct("count", -F.col("length")))).scalar()
+    whole = values.isNotNull() & (F.size(values) == length) & ~F.exists(values, lambda x: x.isNull())
+    whole = F.coalesce(whole, F.lit(False))
+    return df.filter(~whole if refused else whole)
 
 
 def calibrate(
@@ -38,9 +50,10 @@ def calibrate(
     no join back to the centroids, and no tag is too big for it.
 
     A tag without positives has no row. ``split=None`` uses every row; ``only``
-    restricts the tags.
+    restricts the tags. Vectors that ``usable_vectors`` refuses are left out.
     """
     require_columns(labelled, [tags, vector, *([split] if split else [])], "calibrate")
+    labelled = usable_vectors(labelled, vector)
     is_vector = isinstance(labelled.schema[vector].dataType, VectorUDT)
     as_vector = F.col(vector) if is_vector else array_to_vector(F.col(vector).cast("array<double>"))
     threshold_split = threshold_split or centroid_split
@@ -82,12 +95,11 @@ def own_centroid_similarity(
 ) -> DataFrame:
     """Cosine of each (row, tag) to the centroid of that tag; adds ``sim``.
 
-    Row-level form of what ``calibrate`` averages. Centroids are broadcast once
-    their number is known to be small, otherwise joined by tag.
+    Row-level form of what ``calibrate`` averages. Centroids are joined by tag;
+    Spark broadcasts them where its threshold allows.
     """
     own = centroids.select(F.col("tag").alias(tag), F.col("centroid").alias("_centroid"))
-    few = own.limit(MAX_BROADCAST_TAGS + 1).count() <= MAX_BROADCAST_TAGS
-    joined = long.join(F.broadcast(own), tag) if few else join_to_one(long, own, tag)
+    joined = join_to_one(long, own, tag)
     return joined.withColumn("sim", cosine(array_column(joined, vector), F.col("_centroid"))).drop("_centroid")
 
 

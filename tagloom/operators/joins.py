@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Up to this estimated size Spark broadcasts the smaller side by itself.
-BROADCAST_BYTES = 10 * 1024 * 1024
+from tagloom.sources.storage import materialise
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -15,39 +13,59 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def join_to_one(
-    many: DataFrame, one: DataFrame, key: str, how: str = "inner", *, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def broadcast_limit(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 switches broadcasts off."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(conf.autoBroadcastJoinThreshold())
+
+
+def join_to_one(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to a table with one row per key (``inner`` or ``left``).
 
-    A small ``one`` is left to Spark, which broadcasts it. A larger one needs a
-    shuffle by key, and there a key holding more rows than an even share of a
-    shuffle partition is split: its rows are dealt over as many parts as they
-    fill, and its single row in ``one`` is copied to those parts. At most as many
-    keys as there are shuffle partitions can be that frequent, so the table of
-    them is safe to broadcast. Counting them reads the key column once.
+    What Spark broadcasts by the session's threshold is left to Spark; larger
+    tables go through ``join_split``. Both give the same rows.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"Unsupported join type: {how}")
-    if estimated_bytes(one) <= broadcast_bytes:
+    if estimated_bytes(one) <= broadcast_limit(one):
         return many.join(one, key, how)
-    hot = F.broadcast(_frequent_keys(many, key))
-    # A hash of the row, not its position: a recomputed task deals it the same way.
-    spread = F.xxhash64(*[f.name for f in many.schema if not isinstance(f.dataType, T.MapType)])
-    dealt = many.join(hot, key, "left").withColumn(
-        "_part", F.coalesce(F.pmod(spread, F.col("_parts")).cast("int"), F.lit(0))
+    return join_split(many, one, key, how)
+
+
+def join_split(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``join_to_one`` by a shuffle that splits frequent keys.
+
+    The rows are written once, numbered, so that the plan behind them is
+    evaluated once however often they are read. A key with more rows than an
+    even share of a shuffle partition is dealt over as many parts as they fill,
+    by the rows' numbers, so equal rows part too; its single row in ``one`` is
+    copied to those parts. At most as many keys as there are shuffle partitions
+    can be that frequent, so the table of them is safe to broadcast. Rows with a
+    null key match nothing and never move: a left join keeps them where they
+    are. Numbers are stored, so a recomputed task deals its rows the same way.
+    """
+    stored = materialise(many.withColumn("_row", F.monotonically_increasing_id()), "join")
+    keyed = stored.filter(F.col(key).isNotNull())
+    hot = F.broadcast(_frequent_keys(keyed, key))
+    dealt = keyed.join(hot, key, "left").withColumn(
+        "_part", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")).cast("int"), F.lit(0))
     )
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     copied = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    joined = dealt.drop("_parts").join(copied.drop("_parts"), [key, "_part"], how)
-    rest = [c for c in (*many.columns, *one.columns) if c != key]
-    return joined.select(key, *rest)
+    joined = dealt.drop("_parts", "_row").join(copied.drop("_parts"), [key, "_part"], how)
+    columns = [key, *[c for c in many.columns if c != key], *[c for c in one.columns if c != key]]
+    if how == "inner":
+        return joined.select(*columns)
+    kinds = {f.name: f.dataType for f in one.schema if f.name != key}
+    alone = stored.filter(F.col(key).isNull())
+    missing = {c: F.lit(None).cast(kind) for c, kind in kinds.items()}
+    return joined.select(*columns).unionByName(alone.select(*[missing[c].alias(c) if c in missing else c for c in columns]))
 
 
-def _frequent_keys(many: DataFrame, key: str) -> DataFrame:
+def _frequent_keys(stored: DataFrame, key: str) -> DataFrame:
     """(key, _parts) for keys with more rows than an even share of a partition."""
-    partitions = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = many.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    partitions = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stored.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = stored.agg(F.count(F.lit(1)).alias("n")).scalar()
     share = F.col("n") * partitions / total
     return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_parts"))

@@ -1,7 +1,7 @@
 """Score every row against every tag centroid, wide or long, and apply thresholds.
 
-The centroids are a fixed handful of vectors. They are read once, with a checked
-limit, and ride along with the plan; rows are never joined, copied or shuffled.
+There is one centroid for each tag of the taxonomy. They are read once and ride along
+with the plan, in blocks of bounded size; rows are never joined, copied or shuffled.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import dot, matrix_product, norm, raw_array_column, unit_rows
 
-# Above this many centroids the model no longer fits the "fixed handful" design.
-MAX_TAGS = 10_000
+# Bytes of unit vectors that one plan carries; more are scored in blocks of tags.
+BLOCK_BYTES = 8 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -28,12 +28,10 @@ class TagModel:
     thresholds: Mapping[str, float]
 
     @classmethod
-    def load(cls, calibrated: DataFrame, max_tags: int = MAX_TAGS) -> "TagModel":
-        """Read (tag, centroid[, threshold]) rows; refuses more than ``max_tags``."""
+    def load(cls, calibrated: DataFrame) -> "TagModel":
+        """Read (tag, centroid[, threshold]) rows: one per tag of the taxonomy, the only model there is."""
         wanted = [c for c in ("tag", "centroid", "threshold") if c in calibrated.columns]
-        rows = calibrated.select(*wanted).limit(max_tags + 1).collect()
-        if len(rows) > max_tags:
-            raise ValueError(f"More than {max_tags} centroids; score them in separate groups")
+        rows = calibrated.select(*wanted).collect()
         rows = sorted((r for r in rows if r["centroid"] is not None), key=lambda r: r["tag"])
         if not rows:
             raise ValueError("No centroids to score against")
@@ -57,7 +55,10 @@ def similarities(vector: Column, model: TagModel, engine: str = "arrow") -> Colu
     the row's norm across tags. They agree to rounding.
     """
     if engine == "arrow":
-        return matrix_product(model.units, unit_input=True)(vector)
+        block = max(1, BLOCK_BYTES // max(1, model.units[:1].nbytes))
+        blocks = [model.units[k : k + block] for k in range(0, len(model.units), block)]
+        scores = [matrix_product(units, unit_input=True)(vector) for units in blocks]
+        return scores[0] if len(scores) == 1 else F.concat(*scores)
     if engine != "native":
         raise ValueError(f"Unknown scoring engine: {engine}")
     vector = vector.cast("array<double>")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.keys import SEED_SEPARATOR
@@ -23,27 +23,40 @@ RISK_WORDS = {
 CUT_DIGITS = 4
 
 
-def sample_exactly(df: DataFrame, n: int, key: str | Sequence[str], *, seed: int = 42) -> DataFrame:
-    """The ``n`` rows with the smallest seeded hash of ``key`` (all, if fewer).
+def sample_cut(df: DataFrame, n: int, key: str | Sequence[str], *, seed: int = 42) -> Column:
+    """Condition that the ``n`` rows of ``df`` with the smallest seeded hash of ``key`` meet (all, if fewer).
 
-    Which rows are chosen depends on the data alone, not on its layout. A
-    histogram of hash buckets (at most 65,536 rows) finds the bucket holding the
-    n-th row, so the final sort sees about ``n`` rows instead of ``n`` from
-    every input partition.
+    Which rows those are depends on the data alone, not on its layout. A
+    histogram of hash buckets (at most 65,536 rows) finds the bucket that holds
+    the n-th row; only that bucket's hashes are ranked. Both are counted here,
+    when the condition is made. It reads the key alone, so it can stand before
+    costlier filters, and the sample never meets in one task. Keys must be
+    unique where exactly ``n`` rows are wanted: rows that tie with the last one
+    are all in.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = F.md5(F.concat_ws(SEED_SEPARATOR, F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     bucket = F.conv(F.substring(order, 1, CUT_DIGITS), 16, 10).cast("int")
     running = F.sum("rows").over(Window.orderBy("bucket"))
+    left = F.lit(n) - F.col("running") + F.col("rows")
     cut = (
         df.groupBy(bucket.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("rows"))
-        .select("bucket", running.alias("running"))
+        .select("bucket", "rows", running.alias("running"))
         .filter(F.col("running") >= n)
-        .agg(F.min("bucket").alias("cut"))
+        .agg(F.min_by(F.struct("bucket", left.alias("left")), "bucket").alias("cut"))
+        .first()["cut"]
     )
-    last = F.coalesce(cut.scalar(), F.lit(16**CUT_DIGITS))
-    return df.filter(bucket <= last).orderBy(order, *keys).limit(n)
+    if cut is None:
+        return F.lit(True)
+    hashes = df.filter(bucket == cut["bucket"]).select(order.alias("order"))
+    last = hashes.orderBy("order").limit(cut["left"]).agg(F.max("order")).first()[0] if cut["left"] else ""
+    return order <= last if last else bucket < cut["bucket"]
+
+
+def sample_exactly(df: DataFrame, n: int, key: str | Sequence[str], *, seed: int = 42) -> DataFrame:
+    """The rows of ``sample_cut``."""
+    return df.filter(sample_cut(df, n, key, seed=seed))
 
 
 def conflict_candidates(

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
     HashingTF,
     NGram,
     RegexTokenizer,
@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import stopword_list
+from tagloom.functions.vectors import array_column, cosine
 from tagloom.operators.contracts import unrolled, without_columns
 from tagloom.operators.joins import join_to_one
+from tagloom.sources.storage import materialise
 
 
 @dataclass(frozen=True)
@@ -107,12 +109,10 @@ def tfidf_terms(df: DataFrame, key: str, tokens: str, *, min_doc_freq: int = 2)
     """Readable TF-IDF: (key, term, tf, df, tfidf), unhashed.
 
     idf = ln((N + 1) / (df + 1)), 0 below ``min_doc_freq``. ``key`` must be
-    unique. Document frequency is counted over the (key, term) counts, whose
-    shuffle Spark then reuses: tokens are made once.
+    unique. The (key, term) counts are written once and read for both.
     """
-    counts = document_terms(df, key, tokens)
-    # Counting by tf keeps that column in this branch too, so both are one shuffle.
-    frequency = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    counts = materialise(document_terms(df, key, tokens), "terms")
+    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.when(F.col("df") >= min_doc_freq, F.log((total + 1) / (F.col("df") + 1))).otherwise(0.0)
     return join_to_one(counts, frequency, "term").select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
@@ -129,32 +129,51 @@ def vocabulary_size(df: DataFrame, tokens: str, min_count: int = 1) -> int:
     return counts.filter(F.col("n") >= min_count).count()
 
 
-def capped_tfidf_stages(
-    df: DataFrame, tokens: str, out: str, *, share: float, max_vocabulary: int = 5_000_000
-) -> Pipeline:
-    """TF-IDF over the most frequent ``share`` of the distinct terms of ``df``.
+def frequent_terms(counts: DataFrame, share: float) -> DataFrame:
+    """(term, df): the most frequent ``share`` of the terms of (key, term, tf) counts; one at least.
 
-    The vocabulary lives on the driver, so a larger one than ``max_vocabulary``
-    is refused: use ``tfidf_stages`` there.
+    Terms rank by how often they occur, equal ones in alphabetical order. They
+    are sorted in ranges and numbered in place, so no task and no driver holds
+    the vocabulary; the driver sees one count for each range.
     """
-    size = max(1, int(share * vocabulary_size(df, tokens)))
-    _check_vocabulary(size, max_vocabulary)
-    counts = CountVectorizer(inputCol=tokens, outputCol=f"{out}_tf", vocabSize=size)
-    return Pipeline(stages=[counts, IDF(inputCol=f"{out}_tf", outputCol=out)])
+    terms = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    order = [F.desc("n"), F.asc("term")]
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = terms.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranked = materialise(ranges.select("term", "df", F.spark_partition_id().alias("range"), inside.alias("place")), "terms")
+    sizes = sorted(ranked.groupBy("range").count().collect())
+    size = max(1, int(share * sum(r["count"] for r in sizes)))
+    before = dict(zip((r["range"] for r in sizes), accumulate([0, *(r["count"] for r in sizes)]), strict=False))
+    if not before:
+        return ranked.select("term", "df")
+    offsets = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
+    return ranked.filter(offsets[F.col("range")] + F.col("place") < size).select("term", "df")
+
+
+def capped_tfidf_terms(df: DataFrame, key: str, tokens: str, *, share: float) -> DataFrame:
+    """(key, term, tf, df, tfidf) over the most frequent ``share`` of the terms, weighed by a join.
+
+    idf = ln((N + 1) / (df + 1)). ``key`` must be unique.
+    """
+    counts = materialise(document_terms(df, key, tokens), "terms")
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    idf = F.log((total + 1) / (F.col("df") + 1))
+    kept = join_to_one(counts, frequent_terms(counts, share), "term")
+    return kept.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))
 
 
-def _check_vocabulary(size: int, limit: int) -> None:
-    if size > limit:
-        raise ValueError(
-            f"Vocabulary of {size:,} terms exceeds {limit:,}; raise min_count or the limit"
-        )
+def _check_model(df: DataFrame, terms: int, size: int) -> None:
+    """Word2Vec trains on vectors that the driver holds; say so before it runs out of memory."""
+    heap = df.sparkSession.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    if terms * size * 4 > heap:
+        raise ValueError(f"{terms:,} word vectors of {size} floats exceed the driver's heap of {heap:,} bytes")
 
 
 @dataclass(frozen=True)
 class Word2VecSpec:
-    """Default settings are fixed values. ``partitions`` is the training
-    parallelism, by default one shard per core: more is faster, each shard then
-    sees less per iteration."""
+    """Default settings are fixed values. ``partitions`` is the number of training
+    shards, the same on any cluster: more is faster, each shard then sees less
+    per iteration."""
 
     tokens: str = "tokens_all"
     out: str = "review_embeddings"
@@ -163,8 +182,7 @@ class Word2VecSpec:
     min_count: int = 5
     iterations: int = 15
     seed: int = 42
-    partitions: int | None = None
-    max_vocabulary: int = 5_000_000
+    partitions: int = 8
 
 
 def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str | None = "review_key") -> Word2VecModel:
@@ -175,13 +193,13 @@ def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str
     trains reproducibly; several train in parallel and are averaged, and tasks
     sharing an executor see each other's updates, so vectors then vary a little
     between runs. The vocabulary is counted first: vectors are held by the
-    driver and shipped to every executor, so an oversized one is refused before
-    training instead of failing in the middle. ``df`` is read several times;
-    pass a written table.
+    driver and shipped to every executor, so more than its heap can hold are
+    refused before training instead of failing in the middle. ``df`` is read
+    several times; pass a written table.
     """
     usable = df.filter(F.size(F.col(spec.tokens)) > 0).select(*([key] if key else []), spec.tokens)
-    _check_vocabulary(vocabulary_size(usable, spec.tokens, spec.min_count), spec.max_vocabulary)
-    parts = spec.partitions or df.sparkSession.sparkContext.defaultParallelism
+    _check_model(df, vocabulary_size(usable, spec.tokens, spec.min_count), spec.size)
+    parts = spec.partitions
     shards = usable.repartition(parts, key).sortWithinPartitions(key) if key else usable.repartition(parts)
     trainer = Word2Vec(
         inputCol=spec.tokens, outputCol=spec.out, vectorSize=spec.size, windowSize=spec.window,
@@ -216,9 +234,18 @@ def embed_by_join(
     return df.join(sums, key, "left").withColumn(out, mean).drop("total")
 
 
-def nearest_words(model: Word2VecModel, word: str, n: int = 5) -> DataFrame:
-    """(word, similarity) of the closest words."""
-    return model.findSynonyms(word, n)
+def nearest_words(vectors: DataFrame, word: str, n: int = 5) -> DataFrame:
+    """(word, similarity) of the ``n`` words closest to one by cosine, from a (word, vector) table.
+
+    The word's own vector travels with the plan and the table is scored where it
+    lies; equal similarities in alphabetical order. An unknown word has none.
+    """
+    rows = vectors.select("word", array_column(vectors, "vector").alias("vector"))
+    own = rows.filter(F.col("word") == word).first()
+    target = F.lit([float(x) for x in own["vector"]] if own else None).cast("array<double>")
+    scored = rows.filter(F.col("word") != word)
+    scored = scored.select("word", F.round(cosine(F.col("vector"), target), 9).alias("similarity"))
+    return scored.filter(F.col("similarity").isNotNull()).orderBy(F.desc("similarity"), "word").limit(n)
 
 
 def apply_features(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators.cleaning import with_min_tokens
 from tagloom.operators.gold import attach_by_key
-from tagloom.operators.selection import sample_exactly
+from tagloom.operators.selection import sample_cut
 from tagloom.operators.weak_labels import Scorer, WeakLabelConfig, label
 from tagloom.sources.storage import path_exists, scan, write_table
 
@@ -19,8 +19,10 @@ CHUNK = "chunk"
 
 def choose(reviews: DataFrame, cfg: WeakLabelConfig) -> DataFrame:
     """(key, text, token_count) of the sampled, long enough reviews."""
-    eligible = with_min_tokens(reviews, cfg.min_tokens, cfg.text).select(cfg.key, cfg.text, "token_count")
-    return sample_exactly(eligible, cfg.sample_n, cfg.key, seed=cfg.seed)
+    eligible = with_min_tokens(reviews, cfg.min_tokens, cfg.text)
+    chosen = sample_cut(eligible.select(cfg.key), cfg.sample_n, cfg.key, seed=cfg.seed)
+    # The cheap cut stands before the tokens are counted again.
+    return with_min_tokens(reviews.filter(chosen), cfg.min_tokens, cfg.text).select(cfg.key, cfg.text, "token_count")
 
 
 def prepare(

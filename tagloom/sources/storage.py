@@ -28,13 +28,13 @@ def require_paths(spark: SparkSession, *paths: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster an unset value is an error, since executors would not share it.
+    Only a session of one machine without that setting gets a folder of its own;
+    on a cluster an unset value is an error, since executors would not share it.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-"))
         named = context.getCheckpointDir()
@@ -45,6 +45,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that is no longer read, on any file system Spark can reach."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write once to the shared folder and read back.
 
@@ -66,16 +73,6 @@ def scan(
     return with_values(df, not_null) if not_null else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table out over all cores before costly per-row work.
-
-    A table that arrives in fewer pieces than there are cores is small by
-    construction; anything larger is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_table(
     df: DataFrame,
     path: str,
@@ -89,7 +86,7 @@ def write_table(
 
     ``files`` forces a file count. ``balance`` lets adaptive execution size the
     output files (and split oversized partitions) instead; with
-    ``partition_by`` the rows of one value are spread over as many tasks as
+    ``partition_by`` the rows of one value are dealt over as many tasks as
     their volume needs, so a hot value does not end in one writer.
     """
     if files is not None and files > 0:

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 import pytest
 from oracle import database, differences
-from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tagloom.catalog import QUERIES, SQL
-from tagloom.catalog.bindings import CORPUS_TAXONOMY
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -30,42 +26,5 @@ def test_query_equals_sql(spark, con, name):
     assert differences(spark, con, QUERIES[name], SQL[name], FOLDER) == []
 
 
-def test_xxhash_split_keeps_entities_whole(spark):
-    rows = QUERIES["entity_split_xxhash"](spark, FOLDER)
-    assert rows.groupBy("source").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
-
-
-def test_hashed_tfidf_and_vocabulary(spark):
-    assert QUERIES["tfidf_hashed"](spark, FOLDER).count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
-    assert QUERIES["capped_vocabulary_tfidf"](spark, FOLDER).count() > 0
-
-
-def test_word_vectors(spark):
-    rows = QUERIES["word2vec_embed"](spark, FOLDER)
-    assert rows.filter(F.size("embedding") != 16).count() == 0
-    assert QUERIES["word2vec_neighbours"](spark, FOLDER).count() == 5
-
-
-def test_logistic_and_grid(spark):
-    rows = {r["tag"]: r for r in QUERIES["logistic_per_tag"](spark, FOLDER).collect()}
-    assert set(rows) == {"dry", "easy_quick", "family_hit"}
-    assert len({sum(r[c] for c in ("tp", "fp", "tn", "fn")) for r in rows.values()}) == 1
-    assert rows["family_hit"]["f1"] == 0.0 and rows["family_hit"]["threshold"] == 0.01
-    assert all(0.0 < r["auc"] <= 1.0 for r in QUERIES["grid_search_auc"](spark, FOLDER).collect())
-
-
-def test_run_from_text_to_tags(spark):
-    metrics = QUERIES["feature_run"](spark, FOLDER)
-    names = {r["name"] for r in metrics.select("name").distinct().collect()}
-    assert names == {"split_count", "label_prevalence", "tag_threshold"}
-    tagged = QUERIES["corpus_tagging"](spark, FOLDER)
-    n = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
-    assert tagged.count() == n
-    preds = [f"pred_{t}" for t in CORPUS_TAXONOMY.ids]
-    assert set(preds) <= set(tagged.columns)
-    off = tagged.filter(F.size("tag_list") != sum((F.col(p) for p in preds), F.lit(0)))
-    assert off.count() == 0
-    assert tagged.agg(F.max("total_tags")).first()[0] > 0
-    report = QUERIES["run_evaluation"](spark, FOLDER).collect()
-    assert {r["tag"] for r in report} == {"english", "french"}
-    assert all(not math.isnan(r["f1"]) for r in report)
+def test_every_query_has_sql():
+    assert QUERIES.keys() == SQL.keys()

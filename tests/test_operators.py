@@ -79,7 +79,7 @@ def test_hot_keys_are_split_without_changing_the_join(spark):
     many = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id")
     one = spark.range(45).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left"):
-        split = joins.join_to_one(many, one, "k", how, broadcast_bytes=0)
+        split = joins.join_split(many, one, "k", how)
         plain = many.join(one, "k", how)
         assert split.columns == plain.columns and split.exceptAll(plain).count() == plain.exceptAll(split).count() == 0
     frequent = {r["k"]: r["_parts"] for r in joins._frequent_keys(many, "k").collect()}
@@ -88,6 +88,54 @@ def test_hot_keys_are_split_without_changing_the_join(spark):
         joins.join_to_one(many, one, "k", "full")
 
 
+@pytest.fixture
+def fixed_plans(spark):
+    """Eight partitions as they fall: no adaptive changes, no broadcasts."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def partition_sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+def test_equal_rows_and_null_keys_are_dealt_out(spark, fixed_plans):
+    one = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    equal = spark.range(10_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 400).alias("k"))
+    sizes = partition_sizes(joins.join_to_one(equal, one, "k"))
+    assert sum(sizes) == 10_000 and sizes[-1] < 3 * 10_000 / 8
+    nulls = spark.range(1000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 400).alias("k"), "id").repartition(8)
+    joined = joins.join_to_one(nulls, one, "k", "left")
+    assert joined.count() == 1000 and joined.filter("k is null and v is null").count() == 900
+    assert partition_sizes(joined)[-1] < 200
+
+
+def test_join_evaluates_its_rows_once(spark, fixed_plans, tmp_path):
+    spark.range(1000).select((F.col("id") % 7).alias("k")).write.parquet(str(tmp_path / "many"))
+    one = spark.range(7).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(len(batch))
+            yield batch
+
+    many = spark.read.parquet(str(tmp_path / "many")).mapInPandas(seen, "k bigint")
+    assert joins.join_to_one(many, one, "k").count() == 1000
+    assert calls.value == 1000
+
+
+def test_session_threshold_decides_on_broadcasts(spark, fixed_plans):
+    assert joins.broadcast_limit(spark.range(1)) == -1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    assert joins.broadcast_limit(spark.range(1)) == 1 << 20
+
+
 def test_views(spark):
     df = spark.createDataFrame([("u", "r", 5.0, "x")], "user_id string, recipe_id string, rating double, review string")
     assert gold.vector_view(df).columns == ["recipe_id", "rating"]
@@ -207,10 +255,14 @@ def test_absent_centroid_predicts_zero(spark):
     assert conflicts.resolve_conflicts(out, [("a", "gone")]).count() == out.count()
 
 
-def test_model_refuses_too_many_tags(spark):
-    rows = spark.range(5).select(F.col("id").cast("string").alias("tag"), F.array(F.lit(1.0)).alias("centroid"))
-    with pytest.raises(ValueError, match="More than 3"):
-        scoring.TagModel.load(rows, max_tags=3)
+def test_models_of_any_number_of_tags(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"t{k:02}", [1.0, float(k)]) for k in range(20)], "tag string, centroid array<double>")
+    model = scoring.TagModel.load(rows)
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id int, features array<double>")
+    whole = df.select(scoring.similarities(F.col("features"), model).alias("s")).collect()
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 48)
+    blocks = df.select(scoring.similarities(F.col("features"), model).alias("s")).collect()
+    assert blocks[0]["s"] == pytest.approx(whole[0]["s"]) and len(blocks[0]["s"]) == 20 and blocks[1]["s"] is None
     with pytest.raises(ValueError, match="No centroids"):
         scoring.TagModel.load(rows.limit(0))
 
@@ -319,6 +371,14 @@ def test_sample_exactly(spark):
     assert {r["id"] for r in df.orderBy(order).limit(100).collect()} == picked
 
 
+def test_large_samples_never_meet_in_one_task(spark):
+    df = spark.range(0, 2_500_000, 1, 8)
+    sample = selection.sample_exactly(df, 1_200_000, "id")
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("TakeOrdered", "GlobalLimit", "SinglePartition", "Exchange"))
+    assert sample.count() == 1_200_000
+
+
 def test_selection(spark):
     base = spark.createDataFrame([("1", "old"), ("2", "old"), ("2", "older")], "review_key string, v string")
     late = spark.createDataFrame([("2", "new"), ("3", "new")], "review_key string, v string")
@@ -374,8 +434,20 @@ def test_resampling(spark):
     for balanced, size in ((balancing.undersample(df, "c", "id"), 400), (balancing.oversample(df, "c", "id"), 3600)):
         counts = dict(balanced.groupBy("c").count().collect())
         assert all(abs(n - size) < 0.1 * size for n in counts.values())
-    with pytest.raises(ValueError):
-        balancing.class_sizes(df, "id")
+    mixed = df.withColumn("c", F.when(F.col("id") % 7 != 0, F.col("c")))
+    kept = dict(balancing.resample(mixed, "c", {"rare": 0}, "id").groupBy("c").count().collect())
+    assert kept == {None: 572, "common": mixed.filter("c = 'common'").count()}
+    assert balancing.undersample(mixed, "c", "id").filter("c is null").count() == 572
+    assert balancing.oversample(mixed, "c", "id").filter("c is null").count() == 572
+    assert balancing.resample(df, "c", {}, "id").count() == 4000
+
+
+def test_usable_vectors(spark):
+    rows = [(1, [1.0, 2.0]), (2, None), (3, [1.0, None]), (4, [1.0]), (5, [0.0, 0.0]), (6, [])]
+    df = spark.createDataFrame(rows, "id int, features array<double>")
+    assert {r["id"] for r in centroids.usable_vectors(df).collect()} == {1, 5}
+    assert {r["id"] for r in centroids.usable_vectors(df, refused=True).collect()} == {2, 3, 4, 6}
+    assert {r["id"] for r in centroids.usable_vectors(df, size=1).collect()} == {4}
 
 
 def test_stacked_probabilities_equal_each_model(spark):

@@ -136,13 +136,17 @@ def test_word2vec(spark):
     assert not rows["empty"].any() and not rows["unknown"].any() and rows["0"].any()
     second = {r["review_key"]: r["v"].toArray() for r in text_features.embed(df, again, "v").collect()}
     assert all((rows[k] == second[k]).all() for k in rows)
-    assert text_features.nearest_words(model, "salt", 3).count() == 3
+    near = text_features.nearest_words(model.getVectors(), "salt", 3).collect()
+    wanted = [(r["word"], r["similarity"]) for r in model.findSynonyms("salt", 3).collect()]
+    assert [r["word"] for r in near] == [w for w, _ in wanted]
+    assert all(abs(r["similarity"] - x) < 1e-6 for r, (_, x) in zip(near, wanted))
+    assert text_features.nearest_words(model.getVectors(), "unheard", 3).count() == 0
     words = model.getVectors().select("word", vector_to_array("vector").alias("vector"))
     joined = text_features.embed_by_join(df, words, key="review_key", tokens="tokens_all", out="j", size=5)
     for r in joined.collect():
         assert max(abs(a - b) for a, b in zip(r["j"], rows[r["review_key"]])) < 1e-6
-    with pytest.raises(ValueError, match="exceeds"):
-        text_features.fit_word2vec(df, Word2VecSpec(min_count=1, max_vocabulary=3))
+    with pytest.raises(ValueError, match="exceed"):
+        text_features.fit_word2vec(df, Word2VecSpec(min_count=1, size=10**10))
     with pytest.raises(ValueError, match="writes"):
         text_features.embed(df, model, "other")
 
@@ -165,7 +169,8 @@ def test_tfidf(spark):
     assert found[1, "b"] == 0.0 and abs(found[1, "a"] - 2 * 0.28768207245178085) < 1e-12
     spec = TextSpec(terms="t", hash_buckets=16)
     assert text_features.tfidf_stages(spec).fit(df).transform(df).count() == 3
-    capped = text_features.capped_tfidf_stages(df, "t", "c", share=0.5).fit(df)
-    assert capped.stages[0].vocabulary == ["a"] and capped.transform(df).count() == 3
-    with pytest.raises(ValueError):
-        text_features.capped_tfidf_stages(df, "t", "c", share=1.0, max_vocabulary=1)
+    capped = {(r["id"], r["term"]): r["tfidf"] for r in text_features.capped_tfidf_terms(df, "id", "t", share=0.5).collect()}
+    assert capped == {k: v for k, v in found.items() if k[1] == "a"}
+    ties = spark.createDataFrame([(k, [f"w{k:03}"]) for k in range(100)], "id int, t array<string>")
+    counts = text_features.document_terms(ties, "id", "t")
+    assert sorted(r["term"] for r in text_features.frequent_terms(counts, 0.3).collect()) == [f"w{k:03}" for k in range(30)]
