@@ -54,6 +54,23 @@ def csv_typed_scan(spark, folder):
     )
 
 
+@query(
+    "SELECT p_name AS name, p_partkey AS id, CASE WHEN p_partkey % 17 <> 0 THEN p_size::BIGINT END AS minutes, "
+    "'line one\nline \"two\" of ' || p_name AS steps, p_partkey % 17 = 0 AS corrupt FROM part"
+)
+def recipe_csv_scan(spark, folder):
+    """Typed scan of recipes whose steps hold newlines and quotes; unreadable minutes mark their record."""
+    k, text = F.col("p_partkey"), F.lit("['x']")
+    steps = F.concat(F.lit('line one\nline "two" of '), F.col("p_name"))
+    raw = table(spark, folder, "part").select(
+        F.col("p_name").alias("name"), k.alias("id"), F.when(k % 17 == 0, "soon").otherwise(F.col("p_size").cast("string")).alias("minutes"),
+        F.lit(1).alias("contributor_id"), F.lit("2001-02-03").alias("submitted"), text.alias("tags"), text.alias("nutrition"),
+        F.lit(2).alias("n_steps"), steps.alias("steps"), F.col("p_type").alias("description"), text.alias("ingredients"), F.lit(2).alias("n_ingredients"),
+    )
+    rows = csv_files.scan_recipes(spark, _as_csv(raw, "recipes-csv"))
+    return rows.select("name", "id", "minutes", "steps", F.col(csv_files.CORRUPT_COLUMN).isNotNull().alias("corrupt"))
+
+
 @query(
     "SELECT CAST(doc_id AS VARCHAR) AS user_id, CASE WHEN doc_id % 31 = 0 THEN 'five' ELSE '5' END AS rating, "
     "length(text) AS n FROM documents"
@@ -190,7 +207,7 @@ def gold_wide(spark, folder):
 
 @query(
     f"WITH {GOLD_REVIEWS_SQL}, {GOLD_RECIPES_SQL} "
-    "SELECT * EXCLUDE (user_id) FROM gold_reviews JOIN gold_recipes USING (recipe_id)"
+    "SELECT * EXCLUDE (user_id, review_key) FROM gold_reviews JOIN gold_recipes USING (recipe_id)"
 )
 def vector_view(spark, folder):
     return gold.vector_view(gold.gold_wide(_gold_reviews(spark, folder), _gold_recipes(spark, folder)))

@@ -19,7 +19,7 @@ from tagloom.catalog.registry import query, table
 from tagloom.catalog.texts import SQL_TOKENS
 from tagloom.operators.centroids import calibrate, usable_vectors
 from tagloom.operators.gold import attach_by_key, with_review_key
-from tagloom.operators.labels import multi_hot
+from tagloom.operators.labels import multi_hot, tags_set
 from tagloom.operators.text_features import (
     TextSpec, Word2VecSpec, embed, fit_word2vec, nearest_words, token_stages, top_terms,
 )
@@ -207,5 +207,4 @@ def calibration_from_columns(spark, folder):
     """Centroids and thresholds from 0/1 columns, as a stored dataset has them."""
     rows = labelled_vectors(spark, folder).select("vec_id", "split", "tags", "features")
     stored = multi_hot(rows, CLASS_TAGS, "tags").drop("tags")
-    marked = F.array_compact(F.array(*[F.when(F.col(f"y_{t}") == 1, F.lit(t)) for t in CLASS_TAGS]))
-    return calibrate(stored.withColumn("tags", marked)).select("tag", "pos_count", F.round("threshold", 6).alias("threshold"))
+    return calibrate(stored.withColumn("tags", tags_set(CLASS_TAGS, "y_"))).select("tag", "pos_count", F.round("threshold", 6).alias("threshold"))

@@ -11,7 +11,7 @@ from tagloom.catalog.registry import query, table
 from tagloom.functions import text
 from tagloom.operators.cleaning import with_min_tokens, within_token_band
 from tagloom.operators.gold import with_review_key
-from tagloom.operators.selection import conflict_candidates
+from tagloom.operators.selection import RISK_WORDS, conflict_candidates
 from tagloom.operators.text_features import (
     TextSpec, capped_tfidf_terms, drop_token_columns, embed_by_join, nearest_words, tfidf_stages, tfidf_terms,
     token_stages, top_terms,
@@ -99,6 +99,25 @@ def keyword_conflict(spark, folder):
     return conflict_candidates(rows, RARE_WORDS).select("doc_id")
 
 
+RISKS = [w for words in RISK_WORDS.values() for w in words]
+
+
+@query(
+    rf"""
+WITH raw AS (SELECT doc_id, doc_id % 31 = 0 AS bad_rating, n_chars % 6 AS rating,
+                    {CLEAN} || ' ' || {sql_strings(RISKS)}[doc_id % {len(RISKS) + 3} + 1] AS review_clean FROM documents)
+SELECT doc_id FROM raw WHERE NOT bad_rating AND rating >= 4 AND regexp_matches(review_clean, '\b({"|".join(RISKS)})\b')"""
+)
+def keyword_conflict_default_words(spark, folder):
+    """The default risk words, one of them put behind most texts."""
+    word = F.get(F.array(*[F.lit(w) for w in RISKS]), (F.col("doc_id") % (len(RISKS) + 3)).cast("int"))
+    rows = raw_interactions(spark, folder).select(
+        "doc_id", F.col("rating").try_cast("double").alias("rating"),
+        F.concat(text.clean_text(F.col("review")), F.lit(" "), word).alias("review_clean"),
+    )
+    return conflict_candidates(rows).select("doc_id")
+
+
 @query("SELECT count(*) AS bad_ids FROM documents WHERE doc_id % 31 = 0")
 def malformed_ids(spark, folder):
     rows = raw_interactions(spark, folder)

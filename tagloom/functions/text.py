@@ -104,8 +104,9 @@ def ngrams(tokens: Column, n: int) -> Column:
 
 
 def contains_any_word(text: Column, words: Sequence[str]) -> Column:
-    """True when any of ``words`` appears as a whole word."""
-    return text.rlike(r"\b(?:" + "|".join(words) + r")\b")
+    """True when any of ``words``, taken literally, appears as a whole word."""
+    literal = (r"\Q" + word.replace(r"\E", r"\E\\E\Q") + r"\E" for word in words)
+    return text.rlike(r"\b(?:" + "|".join(literal) + r")\b")
 
 
 def looks_textual(raw_id: Column) -> Column:

@@ -40,8 +40,8 @@ def label_prevalence_by(df: DataFrame, key: str, labels: Sequence[str], prefix:
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """(value, n, pct): rows per value and their share of all rows."""
-    total = df.agg(F.count(ROWS).alias("total")).scalar()
-    return counts_by(df, column).withColumn("pct", F.col("n") * 100.0 / total)
+    counts = counts_by(df, column)
+    return counts.withColumn("pct", F.col("n") * 100.0 / counts.agg(F.sum("n")).scalar())
 
 
 def share_where(df: DataFrame, condition: Column, out: str = "pct") -> DataFrame:
@@ -119,10 +119,10 @@ def label_report(df: DataFrame, labels: str = "zs_labels") -> DataFrame:
 
     The row without a tag name counts the rows that have no label at all.
     """
-    rows = df.agg(F.count(ROWS).alias("rows")).scalar()
-    tag = F.explode_outer(F.array_distinct(F.col(labels)))
-    counted = df.select(tag.alias("tag")).groupBy("tag").agg(F.count(ROWS).alias("n"))
-    return counted.withColumn("pct", F.col("n") * 100.0 / rows)
+    tags = df.select(F.posexplode_outer(F.array_distinct(F.col(labels))).alias("place", "tag"))
+    first = F.col("place").isNull() | (F.col("place") == 0)  # one mark for each row, so the counts hold the total
+    counted = tags.groupBy("tag").agg(F.count(ROWS).alias("n"), F.count_if(first).alias("rows"))
+    return counted.select("tag", "n", (F.col("n") * 100.0 / counted.agg(F.sum("rows")).scalar()).alias("pct"))
 
 
 def label_summary(df: DataFrame, key: str = "review_key") -> DataFrame:

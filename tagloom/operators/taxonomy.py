@@ -13,6 +13,14 @@ class Tag:
     group: str
     polarity: str
     hypotheses: tuple[str, ...]
+    # For people and reports; the words of the id unless given.
+    label: str = ""
+    description: str = ""
+    examples: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        if not self.label:
+            object.__setattr__(self, "label", self.id.replace("_", " ").capitalize())
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,11 @@ class Taxonomy:
             rows, "tag string, position int, tag_group string, polarity string, hypothesis string"
         )
 
+    def described(self, spark: SparkSession) -> DataFrame:
+        """(tag, position, label, description, examples), one row per tag, for reports."""
+        rows = [(t.id, k, t.label, t.description, list(t.examples)) for k, t in enumerate(self.tags)]
+        return spark.createDataFrame(rows, "tag string, position int, label string, description string, examples array<string>")
+
 
 # Version 1 of the taxonomy, in tie-breaking order.
 V1 = Taxonomy(

@@ -21,9 +21,9 @@ GOLD_WIDE = (
     "recipe_id", "name", "user_id", "date", "rating", "liked", "review_key", "review_clean",
     *RECIPE_TEXT_FIELDS, *RECIPE_NUMBER_FIELDS,
 )
-VECTOR_VIEW_DROPS = (
-    "id", "user_id", "contributor_id", "submitted", "description", "steps",
-    "ingredients", "tags", "nutrition", "review",
+VECTOR_VIEW = (
+    "recipe_id", "name", "rating", "liked", "date", "review_clean",
+    *RECIPE_TEXT_FIELDS, *RECIPE_NUMBER_FIELDS,
 )
 RATINGS_VIEW = ("user_id", "recipe_id", "rating")
 LABELLED_REQUIRED = ("review_key", "recipe_id", "review_clean", "zs_labels")

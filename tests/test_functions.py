@@ -84,6 +84,12 @@ def test_word_matches(spark):
     assert [one(spark, text.looks_textual(F.col("v")), v) for v in ("123", "12 3", "abc")] == [False, True, True]
 
 
+def test_words_are_literal(spark):
+    df = spark.createDataFrame([("axb",), ("a.b",), (r"a\Eb",)], "v string")
+    assert [r["v"] for r in df.filter(text.contains_any_word(F.col("v"), ["a.b"])).collect()] == ["a.b"]
+    assert [r["v"] for r in df.filter(text.contains_any_word(F.col("v"), [r"a\Eb"])).collect()] == [r"a\Eb"]
+
+
 @pytest.mark.parametrize(
     ("literal", "expected"),
     [

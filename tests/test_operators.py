@@ -136,6 +136,12 @@ def test_session_threshold_decides_on_broadcasts(spark, fixed_plans):
     assert joins.broadcast_limit(spark.range(1)) == 1 << 20
 
 
+def test_tag_descriptions(spark):
+    tags = taxonomy.Taxonomy((taxonomy.Tag("too_salty", "taste", "negative", ("too salty",), description="Too much salt.", examples=("way too salty",)),))
+    row = tags.described(spark).first()
+    assert (row["label"], row["description"], row["examples"]) == ("Too salty", "Too much salt.", ["way too salty"])
+
+
 def test_views(spark):
     df = spark.createDataFrame([("u", "r", 5.0, "x")], "user_id string, recipe_id string, rating double, review string")
     assert gold.vector_view(df).columns == ["recipe_id", "rating"]
