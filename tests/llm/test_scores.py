@@ -146,19 +146,18 @@ def slow_chances(model, subwords, ids: np.ndarray) -> tuple[list[float], list[fl
     e, p, wq, wk, wv, wo, u, b = (np.asarray(w, float) for w in model.weights)
     step = attention.WINDOW - attention.OVERLAP
     line = np.concatenate([[subwords.end], ids, [subwords.end]])
-    mass = np.array([subwords.starts[model.named == n].mean() if (model.named == n).any() else 0 for n in range(attention.NAMED)])
+    mass = np.array([(10.0 ** model.rest * subwords.starts)[model.named == n].sum() for n in range(attention.NAMED)])
     chances, starts = [], []
     for target in range(1, len(line)):
         first = (target - 1) // step * step - attention.OVERLAP
-        places = [k for k in range(first, target) if k >= 0]
-        x = np.array([e[line[k]] + p[k - first] for k in places])
+        x = np.array([e[line[max(k, 0)]] + p[k - first] for k in range(first, target)])
         weight = (x[-1] @ wq) @ (x @ wk).T / np.sqrt(attention.WIDTH)
         weight = np.exp(weight - weight.max())
         h = x[-1] + weight / weight.sum() @ (x @ wv) @ wo
         z = np.exp(h @ u + b)
         z /= z.sum()
         name = model.named[line[target]]
-        chances.append(np.log10(z[name] / (model.others if name == attention.NAMED - 1 else 1)))
+        chances.append(np.log10(z[name]) + model.rest[line[target]])
         starts.append(np.log10(z @ mass))
     return chances, starts
 
