@@ -22,7 +22,7 @@ from tagloom.llm.pieces import library_encoder
 from tagloom.sources.storage import materialise
 
 #: Open windows of a task, and tasks (or groups of them) merged at a time.
-OPEN, MERGED = 64, 64
+OPEN, MERGED = 32, 16
 ID = 4
 
 
