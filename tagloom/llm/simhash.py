@@ -194,7 +194,8 @@ def near_duplicates(
     found = materialise(components(links(rows, distance=distance)), "components")
     group = F.coalesce("component", "fingerprint")
     nodes = named.join(found, named["fingerprint"] == found["node"], "left").select("fingerprint", "least", group.alias("g"))
-    least = nodes.groupBy("g").agg(F.min("least").alias("component_id"))
+    # Written, so that the join is a plain one, whose large groups Spark can split.
+    least = materialise(nodes.groupBy("g").agg(F.min("least").alias("component_id")), "least")
     classes = nodes.join(least, "g").select("fingerprint", "component_id")
     return rows.join(classes, "fingerprint").select(key, "fingerprint", "component_id")
 

@@ -252,7 +252,8 @@ def near_duplicates(
         found = materialise(components(gained.filter("a IS NOT NULL")), "components")
         counts = gained.filter("c IS NOT NULL").groupBy("c").agg(F.sum("gained").alias("gained"))
         nodes = classes.join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("g", F.coalesce("component", "c"))
-        least = nodes.groupBy("g").agg(F.min("least").alias("component_id"))
+        # Written, so that the join is a plain one, whose large groups Spark can split.
+        least = materialise(nodes.groupBy("g").agg(F.min("least").alias("component_id")), "least")
         links = F.coalesce("gained", F.lit(0)) + F.col("n") - 1
         known = nodes.join(least, "g").join(counts, "c", "left").select("label", "v", links.alias("n_links"), "component_id")
         judged = packed.join(known, ["label", "v"]).select("k", "n_links", "component_id").unionByName(alone)
