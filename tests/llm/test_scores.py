@@ -171,6 +171,61 @@ def test_batched_windows_equal_single_ones(fitted):
         assert start == pytest.approx(slow[1], abs=1e-4)
 
 
+def test_every_id_has_a_chance_of_its_own_in_context(fitted):
+    texts, subwords, _ = fitted
+    counts = np.bincount(np.concatenate(subwords.ids(texts)), minlength=subwords.size)
+    model = attention.start_model(counts, subwords)
+    assert model.inner.out.shape == (attention.WIDTH, subwords.size)
+    assert all(len(set(subwords.starts[model.named == n])) == 1 for n in range(attention.NAMED))
+    model = attention.fit_sample(texts, subwords, model=model, steps=40)
+    scorer = attention.Scorer(model, subwords)
+    rare = np.flatnonzero(counts == 0)[:40]
+    pairs = [(a, b) for a, b in zip(rare, rare[1:], strict=False) if model.named[a] == model.named[b]]
+    gaps = []
+    for head in (300, 5000):
+        made = scorer.score([np.array([head, k]) for pair in pairs for k in pair])
+        gaps += [one[1] - two[1] for (one, _), (two, _) in zip(made[::2], made[1::2], strict=True)]
+    assert len(gaps) > 10 and len(np.unique(np.round(gaps, 5))) == len(gaps)  # not shares of a class, whatever stands before
+    ends = scorer.score([np.array([300, k]) for k in range(subwords.end)])
+    total = sum(10.0 ** chance[1] for chance, _ in ends) + 10.0 ** scorer.score([np.array([300])])[0][0][1]
+    assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_inner_gradient_by_differences(fitted):
+    texts, subwords, _ = fitted
+    rng = np.random.default_rng(1)
+    model = attention.start_model(np.ones(subwords.size, int), subwords)
+    slots, bounds = model.layout()
+    inputs, targets = rng.integers(0, subwords.size, (2, 3, attention.WINDOW))
+    parts = [w.astype(float) for w in model.parts()]
+
+    def loss_at(parts):
+        m = model.of(parts)
+        return attention.gradients(m.weights, inputs, model.named[targets], m.inner, bounds, slots[targets])
+
+    _, slope = loss_at(parts)
+    for k, spot in ((0, (inputs[0, 0], 3)), (5, (2, 4)), (8, (3, slots[targets[0, 0]])), (9, (slots[targets[1, 1]],))):
+        losses = []
+        for move in (1e-4, -1e-4):
+            changed = [w.copy() for w in parts]
+            changed[k][spot] += move
+            losses.append(loss_at(changed)[0])
+        assert slope[k][spot] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=2e-2, abs=2e-5)
+
+
+def test_classes_follow_the_counts_of_all_texts(spark, monkeypatch):
+    rows = [(k, "alpha beta" if k < 30 else "gamma gamma") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    subwords = attention.Subwords(VOCABULARY)
+    ids = subwords.ids([t.encode().split() for _, t in rows])
+    wanted = np.bincount(np.concatenate([*ids, np.full(60, subwords.end)]), minlength=subwords.size)
+    made = lm.id_counts(lm.word_counts(docs), 60, VOCABULARY)
+    assert (made == wanted).all()
+    monkeypatch.setattr(lm, "FIT_ROWS", 1)
+    model = lm.train(docs, made, VOCABULARY, key="doc_id", text="text")
+    assert (model.rest == attention.start_model(wanted, subwords).rest).all() and model.inner
+
+
 def test_gradient_by_differences(fitted):
     _, subwords, model = fitted
     rng = np.random.default_rng(0)
