@@ -213,6 +213,32 @@ def test_inner_gradient_by_differences(fitted):
         assert slope[k][spot] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=2e-2, abs=2e-5)
 
 
+def test_training_walks_over_whole_texts():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 900, n) for n in (0, 1, 31, 32, 33, 2000, 7)]
+    batches = list(attention.training_batches(iter(texts), 999, 16))
+    assert {len(x) for x in batches[:-1]} == {16} and 0 < len(batches[-1]) <= 16
+    windows = [tuple(x) for x in np.concatenate(batches)]
+    learned = {pair for x in windows for pair in zip(x[k : k + 2] for k in range(attention.WINDOW))}
+    for text in texts:
+        line = [999, *text.tolist(), 999]
+        assert all((tuple(line[k : k + 2]),) in learned for k in range(len(line) - 1))  # behind its true left neighbour
+        count = -(-(len(text) + 1) // attention.WINDOW)
+        assert sum(set(x) <= {999, *line} for x in windows) >= count
+    assert len(windows) == sum(-(-(len(x) + 1) // attention.WINDOW) for x in texts)
+
+
+def test_the_tail_of_a_text_moves_the_weights(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "FIT_ROWS", 1)
+    head = "the house of gardens " * 60
+    for tail in ("river " * 40, "bridge " * 40):
+        docs = spark.createDataFrame([(1, "a"), (2, head + tail)], "doc_id bigint, text string").coalesce(1)
+        counts = np.ones(attention.RANKS + 1, int)
+        seen.append(lm.train(docs, counts, VOCABULARY, key="doc_id", text="text").flat())
+    assert not np.allclose(seen[0], seen[1])
+
+
 def test_classes_follow_the_counts_of_all_texts(spark, monkeypatch):
     rows = [(k, "alpha beta" if k < 30 else "gamma gamma") for k in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
