@@ -190,24 +190,33 @@ def near_duplicates(
     table gives an empty result.
     """
     rows = materialise(with_fingerprint(docs, key, text, shingle), "fingerprints")
+    return rows.join(_classes(rows, key, distance), "fingerprint").select(key, "fingerprint", "component_id")
+
+
+def _classes(rows: DataFrame, key: str, distance: int) -> DataFrame:
+    """(fingerprint, component_id) of a written table: the smallest key of all rows that links reach."""
     named = rows.groupBy("fingerprint").agg(F.min(key).alias("least"))
     found = materialise(components(links(rows, distance=distance)), "components")
     group = F.coalesce("component", "fingerprint")
     nodes = named.join(found, named["fingerprint"] == found["node"], "left").select("fingerprint", "least", group.alias("g"))
     # Written, so that the join is a plain one, whose large groups Spark can split.
     least = materialise(nodes.groupBy("g").agg(F.min("least").alias("component_id")), "least")
-    classes = nodes.join(least, "g").select("fingerprint", "component_id")
-    return rows.join(classes, "fingerprint").select(key, "fingerprint", "component_id")
+    return nodes.join(least, "g").select("fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", *, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose key names their component, all columns; one row of repeated keys.
+    """One row of each component, all columns: that with the smallest key, nulls last, of equal keys the first.
 
-    Rows with a null key stay: they cannot be told apart by it.
+    Rows are told apart by numbers in a written copy, not by key: rows that
+    share a key stay if their texts are in different components, and copies
+    without a key are copies.
     """
-    classes = near_duplicates(docs, key, text, shingle=shingle, distance=distance)
-    kept = classes.filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    named = docs.filter(F.col(key).isNotNull()).join(kept, key, "left_semi")
-    return named.dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull())).select(*docs.columns)
-
-
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    numbered = materialise(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    rank = F.struct(F.col(key).isNull().alias("missing"), F.col(key).alias("key"), F.col(number).alias("row"))
+    ranked = numbered.select(rank.alias("rank"), F.col(text).alias("t"))
+    rows = materialise(with_fingerprint(ranked, "rank", "t", shingle), "fingerprints")
+    kept = _classes(rows, "rank", distance).select(F.col("component_id.row").alias(number)).distinct()
+    return numbered.join(kept, number, "left_semi").select(*docs.columns)

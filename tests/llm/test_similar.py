@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tagloom.llm import graph, links, simhash, sketches, vectors
 from tagloom.llm.catalog import QUERIES, URL_RULES
@@ -121,6 +122,16 @@ def test_simhash_of_odd_documents(odd, nothing):
     assert simhash.near_duplicates(nothing).collect() == simhash.keep_one(nothing).collect() == []
 
 
+def test_one_row_of_each_group_whatever_its_key(spark):
+    one, two, three = ("a first text about rivers and bridges", "some other words on cats and dogs here", "a third line that nobody else has written")
+    rows = [(3, one, "a"), (5, one, "b"), (5, two, "c"), (5, three, "d"), (5, three, "e"), (None, two, "f"), (None, "quite alone without any key", "g"), (None, "quite alone without any key", "h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string").coalesce(1)
+    for order in (docs, docs.orderBy(F.desc("row")).coalesce(1)):
+        left = simhash.keep_one(order).select("doc_id", "text").collect()
+        assert sorted(map(tuple, left), key=str) == sorted([(3, one), (5, two), (5, three), (None, rows[-1][1])], key=str)
+    assert {r["row"] for r in simhash.keep_one(docs).collect()} == {"a", "c", "d", "g"}
+
+
 def test_simhash_query(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
     rows = QUERIES["op4_simhash"](spark, folder).orderBy("doc_id").collect()
