@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, links, lm, packing, quality, shards, simhash, sketches, toxicity, vectors
+from tagloom.llm import bpe, lexical, links, lm, packing, quality, shards, simhash, sketches, toxicity, vectors
 from tagloom.llm.common import table
 from tagloom.sources.storage import scratch_path
 
@@ -105,3 +105,25 @@ def op2_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
     scored = lm.score_folds(table(spark, folder, "documents"), path)
     first = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return scored.select(*first, "attention_score")
+
+
+#: The terms of a text in SQL; ``regexp_extract_all`` gives whole matches.
+SQL_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{lexical.UPPER}', '{lexical.LOWER}'), '{lexical.TERM}')"
+
+
+@query(
+    f"""WITH items AS (SELECT DISTINCT item_id, unnest({SQL_TERMS}) AS term FROM benchmark),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {SQL_TERMS} AS terms FROM documents),
+sizes AS (SELECT r, doc_id, len(terms)::BIGINT AS n FROM docs),
+totals AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM sizes WHERE n > 0),
+counts AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, totals GROUP BY term, nn),
+norms AS (SELECT r, doc_id, 100 - 90 + ((90 * n * nn) // ll) AS m FROM sizes, totals),
+scored AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN norms USING (r) GROUP BY ALL),
+placed AS (SELECT item_id, doc_id, score,
+  row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10"""
+)
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
