@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lexical, links, lm, packing, quality, shards, simhash, sketches, toxicity, vectors
+from tagloom.llm import bpe, lexical, links, lm, packing, quality, shards, simhash, sketches, structure, toxicity, vectors
 from tagloom.llm.common import table
 from tagloom.sources.storage import scratch_path
 
@@ -127,3 +127,16 @@ SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10"""
 )
 def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op13_structure(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    made = structure.repair(structure.damaged(rows))
+    found = made.audits.join(structure.repaired_digests(made.rows).withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    every = rows.select(F.col("conv_id").alias("id")).distinct().join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        F.col("id").alias("conv_id"), *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
