@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lexical, links, lm, packing, quality, shards, simhash, sketches, structure, toxicity, vectors
+from tagloom.llm import bpe, language, lexical, links, lm, packing, quality, shards, simhash, sketches, structure, toxicity, vectors
 from tagloom.llm.common import table
 from tagloom.sources.storage import scratch_path
 
@@ -140,3 +140,8 @@ def op13_structure(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("conv_id"), *[F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in counts],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query()
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.classify(table(spark, folder, "documents"))
