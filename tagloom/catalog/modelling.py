@@ -101,7 +101,7 @@ def grid_search_auc(spark, folder):
     return spark.createDataFrame([(v, bool(0.0 <= a <= 1.0)) for v, a in zip(values, found.avgMetrics, strict=True)], "reg_param double, valid boolean")
 
 
-def _run(spark, folder, tfidf=False, train_only=False, method="xxhash64"):
+def run_on_documents(spark, folder, tfidf=False, train_only=False, method="xxhash64", vectors=VECTORS, text=None):
     """A whole run on documents: weak labels, features, centroids."""
     base = scratch_path(spark, "run")
     docs = table(spark, folder, "documents").select(
@@ -116,7 +116,8 @@ def _run(spark, folder, tfidf=False, train_only=False, method="xxhash64"):
     stored = spark.read.parquet(f"{base}/reviews")
     weak = label(docs, WEAK_CONFIG).select("doc_id", "zs_labels")
     write_table(attach_by_key(stored, weak, "doc_id"), f"{base}/labelled")
-    settings = {"labels": CORPUS_TAXONOMY.ids, "vectors": VECTORS, "tfidf": tfidf, "split_hash": method}
+    settings = {"labels": CORPUS_TAXONOMY.ids, "vectors": vectors, "tfidf": tfidf, "split_hash": method}
+    settings |= {"text": text} if text else {}
     plan = feature_plan.FeaturePlan(**settings) if train_only else feature_plan.FeaturePlan.on_corpus(f"{base}/reviews", **settings)
     return base, feature_plan.build(spark, f"{base}/labelled", base, plan)
 
@@ -127,7 +128,7 @@ def _run(spark, folder, tfidf=False, train_only=False, method="xxhash64"):
 )
 def feature_run(spark, folder):
     """Metrics of one run: split sizes sum to the rows; prevalences and thresholds are shares."""
-    base, run_id = _run(spark, folder, tfidf=True)
+    base, run_id = run_on_documents(spark, folder, tfidf=True)
     value, name = F.col("value"), F.col("name")
     return spark.read.parquet(f"{base}/metrics").groupBy("name").agg(
         F.sum(F.when(name == "split_count", value)).alias("total"),
@@ -145,7 +146,7 @@ def _tagged_facts(gold):
 @query("SELECT doc_id, true AS listed, false AS clash FROM documents")
 def corpus_tagging(spark, folder):
     """Every document tagged with the models of a run, calibrated anew on its labelled rows."""
-    base, run_id = _run(spark, folder)
+    base, run_id = run_on_documents(spark, folder)
     labelled = spark.read.parquet(f"{base}/labelled")
     out = tag_corpus(
         spark, base, run_id, f"{base}/reviews", f"{base}/gold", labelled=labelled, tags=CORPUS_TAXONOMY.ids
@@ -156,7 +157,7 @@ def corpus_tagging(spark, folder):
 @query("SELECT doc_id, true AS listed, false AS clash FROM documents")
 def stored_model_tagging(spark, folder):
     """The same from the run's stored centroids and thresholds, of a run trained on its train split alone."""
-    base, run_id = _run(spark, folder, train_only=True)
+    base, run_id = run_on_documents(spark, folder, train_only=True)
     out = tag_corpus(spark, base, run_id, f"{base}/reviews", f"{base}/gold", tags=CORPUS_TAXONOMY.ids)
     return _tagged_facts(spark.read.parquet(out))
 
@@ -164,7 +165,7 @@ def stored_model_tagging(spark, folder):
 @query("SELECT true AS run, true AS calibrations, true AS same_tags")
 def recalibrated_thresholds(spark, folder):
     """Two calibrations of one run: each has one threshold per tag under its own id, the run keeps its own."""
-    base, run_id = _run(spark, folder)
+    base, run_id = run_on_documents(spark, folder)
     labelled = spark.read.parquet(f"{base}/labelled")
     for _ in range(2):
         recalibrate(spark, base, run_id, labelled, tags=CORPUS_TAXONOMY.ids)
@@ -185,7 +186,7 @@ FROM tags, rows WHERE split = 'test' GROUP BY tag"""
 )
 def run_evaluation(spark, folder):
     """Classifiers of every tag trained, tuned and tested on a run's dataset."""
-    base, run_id = _run(spark, folder, method="md5")
+    base, run_id = run_on_documents(spark, folder, method="md5")
     return _facts(train_and_evaluate(spark, base, run_id, tags=CORPUS_TAXONOMY.ids))
 
 

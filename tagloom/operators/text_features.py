@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import accumulate
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -124,9 +125,11 @@ def top_terms(df: DataFrame, tokens: str, n: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("n"), "term").limit(n)
 
 
-def vocabulary_size(df: DataFrame, tokens: str, min_count: int = 1) -> int:
+def corpus_size(df: DataFrame, tokens: str, min_count: int = 1) -> tuple[int, int]:
+    """(terms that occur ``min_count`` times, tokens)."""
     counts = unrolled(df, [], tokens, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") >= min_count).count()
+    found = counts.agg(F.count_if(F.col("n") >= min_count).alias("terms"), F.sum("n").alias("tokens")).first()
+    return found["terms"], found["tokens"] or 0
 
 
 def frequent_terms(counts: DataFrame, share: float) -> DataFrame:
@@ -172,8 +175,9 @@ def _check_model(df: DataFrame, terms: int, size: int) -> None:
 @dataclass(frozen=True)
 class Word2VecSpec:
     """Default settings are fixed values. ``partitions`` is the number of training
-    shards, the same on any cluster: more is faster, each shard then sees less
-    per iteration."""
+    shards; None makes one for each ``shard_tokens``, eight at least, so that it
+    follows the corpus and not the cluster. More shards are faster, each then sees
+    less per iteration."""
 
     tokens: str = "tokens_all"
     out: str = "review_embeddings"
@@ -182,7 +186,11 @@ class Word2VecSpec:
     min_count: int = 5
     iterations: int = 15
     seed: int = 42
-    partitions: int = 8
+    partitions: int | None = None
+    shard_tokens: int = 20_000_000
+
+    def shards(self, tokens: int) -> int:
+        return self.partitions or max(8, ceil(tokens / self.shard_tokens))
 
 
 def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str | None = "review_key") -> Word2VecModel:
@@ -194,12 +202,14 @@ def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str
     sharing an executor see each other's updates, so vectors then vary a little
     between runs. The vocabulary is counted first: vectors are held by the
     driver and shipped to every executor, so more than its heap can hold are
-    refused before training instead of failing in the middle. ``df`` is read
-    several times; pass a written table.
+    refused before training instead of failing in the middle; beyond that use
+    ``word_vectors.corpus_vectors``. ``df`` is read several times; pass a written
+    table.
     """
     usable = df.filter(F.size(F.col(spec.tokens)) > 0).select(*([key] if key else []), spec.tokens)
-    _check_model(df, vocabulary_size(usable, spec.tokens, spec.min_count), spec.size)
-    parts = spec.partitions
+    terms, tokens = corpus_size(usable, spec.tokens, spec.min_count)
+    _check_model(df, terms, spec.size)
+    parts = spec.shards(tokens)
     shards = usable.repartition(parts, key).sortWithinPartitions(key) if key else usable.repartition(parts)
     trainer = Word2Vec(
         inputCol=spec.tokens, outputCol=spec.out, vectorSize=spec.size, windowSize=spec.window,
@@ -208,7 +218,7 @@ def fit_word2vec(df: DataFrame, spec: Word2VecSpec = Word2VecSpec(), *, key: str
     return trainer.fit(shards)
 
 
-def embed(df: DataFrame, model: Word2VecModel, out: str = "review_embeddings") -> DataFrame:
+def embed(df: DataFrame, model: Word2VecModel | VectorTable, out: str = "review_embeddings") -> DataFrame:
     """Mean of the word vectors of each row, replacing a column of that name."""
     if model.getOutputCol() != out:
         raise ValueError(f"Model writes {model.getOutputCol()!r}, expected {out!r}")
@@ -234,6 +244,27 @@ def embed_by_join(
     return df.join(sums, key, "left").withColumn(out, mean).drop("total")
 
 
+@dataclass(frozen=True)
+class VectorTable:
+    """Word vectors kept as a (word, vector) table, in the place of a Word2Vec model.
+
+    ``key`` must be unique in the rows that are transformed.
+    """
+
+    vectors: DataFrame
+    tokens: str
+    out: str
+    size: int
+    key: str = "review_key"
+
+    def getOutputCol(self) -> str:
+        return self.out
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        embedded = embed_by_join(df, self.vectors, key=self.key, tokens=self.tokens, out=self.out, size=self.size)
+        return embedded.withColumn(self.out, array_to_vector(self.out))
+
+
 def nearest_words(vectors: DataFrame, word: str, n: int = 5) -> DataFrame:
     """(word, similarity) of the ``n`` words closest to one by cosine, from a (word, vector) table.
 
@@ -249,7 +280,7 @@ def nearest_words(vectors: DataFrame, word: str, n: int = 5) -> DataFrame:
 
 
 def apply_features(
-    df: DataFrame, prep: PipelineModel, model: Word2VecModel, out: str = "features"
+    df: DataFrame, prep: PipelineModel, model: Word2VecModel | VectorTable, out: str = "features"
 ) -> DataFrame:
     """Saved token stages, then document vectors as ``out``."""
     embedded = embed(prep.transform(df), model, model.getOutputCol())
