@@ -41,19 +41,31 @@ def _reviews_csv(spark, folder) -> str:
     )
 
 
-@query(
+TYPED_SQL = (
     "SELECT doc_id AS user_id, n_chars AS recipe_id, CASE WHEN doc_id % 31 <> 0 THEN 5::BIGINT END AS rating, "
     "md5(text) AS digest, doc_id % 31 = 0 AS corrupt FROM documents"
 )
-def csv_typed_scan(spark, folder):
-    """Typed scan of multi-line records; an unreadable rating marks its record."""
-    rows = csv_files.scan_interactions(spark, _reviews_csv(spark, folder))
+
+
+def _typed(rows):
     return rows.select(
         "user_id", "recipe_id", "rating", F.md5("review").alias("digest"),
         F.col(csv_files.CORRUPT_COLUMN).isNotNull().alias("corrupt"),
     )
 
 
+@query(TYPED_SQL)
+def csv_typed_scan(spark, folder):
+    """Typed scan of multi-line records; an unreadable rating marks its record."""
+    return _typed(csv_files.scan_interactions(spark, _reviews_csv(spark, folder)))
+
+
+@query(TYPED_SQL)
+def csv_ranged_typed_scan(spark, folder):
+    """The same from byte ranges of the files, so that one file is read by many tasks."""
+    return _typed(csv_files.scan_interactions(spark, _reviews_csv(spark, folder), ranged=True))
+
+
 @query(
     "SELECT p_name AS name, p_partkey AS id, CASE WHEN p_partkey % 17 <> 0 THEN p_size::BIGINT END AS minutes, "
     "'line one\nline \"two\" of ' || p_name AS steps, p_partkey % 17 = 0 AS corrupt FROM part"
@@ -71,15 +83,24 @@ def recipe_csv_scan(spark, folder):
     return rows.select("name", "id", "minutes", "steps", F.col(csv_files.CORRUPT_COLUMN).isNotNull().alias("corrupt"))
 
 
-@query(
+UNTYPED_SQL = (
     "SELECT CAST(doc_id AS VARCHAR) AS user_id, CASE WHEN doc_id % 31 = 0 THEN 'five' ELSE '5' END AS rating, "
     "length(text) AS n FROM documents"
 )
+
+
+@query(UNTYPED_SQL)
 def csv_untyped_scan(spark, folder):
     rows = csv_files.scan_untyped(spark, _reviews_csv(spark, folder))
     return rows.select("user_id", "rating", F.length("review").cast("long").alias("n"))
 
 
+@query(UNTYPED_SQL)
+def csv_ranged_untyped_scan(spark, folder):
+    rows = csv_files.scan_untyped(spark, _reviews_csv(spark, folder), ranged=True)
+    return rows.select("user_id", "rating", F.length("review").cast("long").alias("n"))
+
+
 @query(
     "SELECT 'landed' AS part, count(*) AS n FROM documents "
     "UNION ALL SELECT 'good', count(*) FROM documents WHERE doc_id % 31 <> 0 "

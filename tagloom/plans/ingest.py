@@ -35,12 +35,18 @@ def land(df: DataFrame, path: str) -> int:
     return scan(df.sparkSession, path).count()
 
 
-def land_bronze(spark: SparkSession, recipes_csv: str, interactions_csv: str, layers: Layers) -> tuple[int, int]:
-    """Both CSVs to parquet, corrupt records kept in their own column."""
+def land_bronze(
+    spark: SparkSession, recipes_csv: str, interactions_csv: str, layers: Layers, *, ranged: bool = True
+) -> tuple[int, int]:
+    """Both CSVs to parquet, corrupt records kept in their own column.
+
+    A file is read by as many tasks as it has byte ranges; ``ranged=False`` reads
+    files whose quotes do not stand only around fields, one task each.
+    """
     require_paths(spark, recipes_csv, interactions_csv)
     return (
-        land(csv_files.scan_recipes(spark, recipes_csv), layers.bronze_recipes),
-        land(csv_files.scan_interactions(spark, interactions_csv), layers.bronze_interactions),
+        land(csv_files.scan_recipes(spark, recipes_csv, ranged=ranged), layers.bronze_recipes),
+        land(csv_files.scan_interactions(spark, interactions_csv, ranged=ranged), layers.bronze_interactions),
     )
 
 
