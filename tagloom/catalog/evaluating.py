@@ -189,6 +189,26 @@ def classification_report(spark, folder):
     return _rounded(evaluation.classification_report(rows, "y", "score"), (*METRICS, "accuracy", "roc_auc"))
 
 
+@query(
+    f"""
+WITH {CALIBRATION_SQL}, rows AS (
+  SELECT tag, CAST(own = tag AS INTEGER) AS y, sim AS s FROM scores
+  UNION ALL SELECT 'discount of returned', CAST(l_returnflag = 'R' AS INTEGER), l_discount::DOUBLE FROM lineitem),
+ranked AS (SELECT tag, y, rank() OVER (PARTITION BY tag ORDER BY s) + (count(*) OVER (PARTITION BY tag, s) - 1) / 2.0 AS place FROM rows)
+SELECT tag, sum(y)::BIGINT AS positives, (count(*) - sum(y))::BIGINT AS negatives,
+       round((sum(y * place) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y)::DOUBLE * (count(*) - sum(y))), 9) AS roc_auc
+FROM ranked GROUP BY tag"""
+)
+def auc_by_tag(spark, folder):
+    """Exact areas of all tags in one pass, with a group of few different scores among them."""
+    returned = table(spark, folder, "lineitem").select(
+        F.lit("discount of returned").alias("tag"), (F.col("l_returnflag") == "R").cast("int").alias("y"),
+        F.col("l_discount").cast("double").alias("score"),
+    )
+    found = evaluation.roc_auc(_scores_long(spark, folder).unionByName(returned))
+    return found.withColumn("roc_auc", F.round("roc_auc", 9))
+
+
 @query(
     f"WITH r AS (SELECT o_orderkey, o_totalprice AS v, {sql_unit_hash('o_orderkey')} < 0.8 AS fit FROM orders), "
     "b AS (SELECT min(v) AS lo, max(v) AS hi FROM r WHERE fit) "

@@ -6,15 +6,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom.catalog.bindings import (
     CALIBRATION_SQL, CLASS_TAGS, CORPUS_TAXONOMY, VECTORS_SQL, WEAK_CONFIG, WEAK_LABELS_SQL, clean_documents,
-    labelled_vectors, sql_split, sql_strings,
+    labelled_vectors, sql_split, sql_strings, sql_unit_hash,
 )
+from tagloom.catalog.evaluating import CELLS, METRICS, STEPS_SQL, sql_metrics
 from tagloom.catalog.registry import query, table
 from tagloom.catalog.texts import SQL_TOKENS
 from tagloom.operators.centroids import calibrate, usable_vectors
@@ -24,7 +23,7 @@ from tagloom.operators.text_features import (
     TextSpec, Word2VecSpec, embed, fit_word2vec, nearest_words, token_stages, top_terms,
 )
 from tagloom.operators.taxonomy import NEGATION_PAIRS
-from tagloom.operators.training import evaluate_per_tag, fit_per_tag, grid_search
+from tagloom.operators.training import Weights, evaluate_per_tag, fit_per_tag, grid_search, mean_areas
 from tagloom.operators.weak_labels import label
 from tagloom.plans import features as feature_plan
 from tagloom.plans.tagging import recalibrate, tag_corpus
@@ -85,20 +84,78 @@ def _facts(report):
     )
 
 
-@query("SELECT * FROM (VALUES (0.0::DOUBLE, true), (0.1::DOUBLE, true), (1.0::DOUBLE, true)) AS t(reg_param, valid)")
-def grid_search_auc(spark, folder):
-    """A cross-validated search over the whole table; mean areas depend on training, their range does not."""
-    rows = materialise(
-        labelled_vectors(spark, folder).select(
-            (F.col("tag") == "dry").cast("double").alias("label"),
-            array_to_vector(F.col("features").cast("array<double>")).alias("features"),
-        ),
-        "grid",
+def _dry(spark, folder):
+    """Vectors with a label that a classifier learns."""
+    rows = labelled_vectors(spark, folder).select(
+        "vec_id", (F.col("tag") == "dry").cast("int").alias("label"),
+        array_to_vector(F.col("features").cast("array<double>")).alias("features"),
     )
-    trainer = LogisticRegression(maxIter=50)
-    values = [0.0, 0.1, 1.0]
-    found = grid_search(rows, trainer, {trainer.regParam: values}, BinaryClassificationEvaluator(numBins=0), folds=3, parallelism=3)
-    return spark.createDataFrame([(v, bool(0.0 <= a <= 1.0)) for v, a in zip(values, found.avgMetrics, strict=True)], "reg_param double, valid boolean")
+    return materialise(rows, "grid")
+
+
+FOLD_SQL = f"CAST(floor({sql_unit_hash('vec_id')} * 3) AS INTEGER)"
+
+
+@query(
+    f"""WITH {VECTORS_SQL}, folds AS (SELECT {FOLD_SQL} AS fold, count(*) FILTER (WHERE tag = 'dry') AS positives,
+  count(*) FILTER (WHERE tag <> 'dry') AS negatives FROM vectors GROUP BY fold)
+SELECT reg_param, fold, positives, negatives, true AS valid FROM folds, (VALUES (0.0::DOUBLE), (0.1), (1.0)) AS t(reg_param)"""
+)
+def grid_search_auc(spark, folder):
+    """A cross-validated search over the whole table. Areas depend on training, their range and the folds do not."""
+    found = grid_search(_dry(spark, folder), "vec_id", "label", {"reg_param": [0.0, 0.1, 1.0]}, parallelism=3, method="md5")
+    return found.select("reg_param", "fold", "positives", "negatives", F.col("roc_auc").between(0.0, 1.0).alias("valid"))
+
+
+def fixed_weights(number: int, size: int) -> Weights:
+    """A model by rule, so that its scores can be stated."""
+    return Weights(tuple(((k * 7 + number * 5) % 13 - 6) / 10 for k in range(size)), number / 20)
+
+
+def sql_fixed_score(number: str) -> str:
+    """1 / (1 + exp(-(w . x + b))) of the model by rule; x is the vector."""
+    weight = f"((k * 7 + {number} * 5) % 13 - 6) / 10.0::DOUBLE"
+    product = f"list_sum(list_transform(range(len(x)), lambda k: x[k + 1] * ({weight})))"
+    return f"1 / (1 + exp(-({product} + {number} / 20.0::DOUBLE)))"
+
+
+@query(
+    f"""WITH {VECTORS_SQL}, rows AS (SELECT {FOLD_SQL} AS fold, CAST(tag = 'dry' AS INTEGER) AS y, x FROM vectors),
+scored AS (SELECT fold, cell, y, {sql_fixed_score('(cell * 3 + fold)')} AS s FROM rows, (SELECT unnest(range(2)) AS cell)),
+ranked AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY fold, cell, s) - 1) / 2.0 AS place FROM scored WINDOW w AS (PARTITION BY fold, cell ORDER BY s)),
+areas AS (SELECT cell, fold, sum(y) AS p, count(*) - sum(y) AS n, sum(y * place) AS places FROM ranked GROUP BY cell, fold)
+SELECT CASE cell WHEN 0 THEN 0.5::DOUBLE ELSE 2 END AS reg_param, round(avg((places - p * (p + 1) / 2) / (p * n)), 9) AS mean_auc FROM areas GROUP BY cell"""
+)
+def grid_search_fixed_models(spark, folder):
+    """The search's areas with models by rule in place of fits: every value and fold from one pass."""
+    rows = _dry(spark, folder)
+    size = len(rows.select("features").first()[0])
+    models = {(c, f): fixed_weights(c * 3 + f, size) for c in range(2) for f in range(3)}
+    found = grid_search(rows, "vec_id", "label", {"reg_param": [0.5, 2.0]}, fitted=models, method="md5")
+    return mean_areas(found).select("reg_param", F.round("mean_auc", 9).alias("mean_auc"))
+
+
+CLASS_ROWS = ", ".join(f"('{tag}', {k})" for k, tag in enumerate(CLASS_TAGS))
+
+
+@query(
+    f"""WITH {VECTORS_SQL}, tags(tag, k) AS (VALUES {CLASS_ROWS}),
+scored AS (SELECT t.tag, split, CAST(v.tag = t.tag AS INTEGER) AS y, {sql_fixed_score('t.k')} AS score FROM vectors v, tags t),
+steps(threshold) AS (VALUES {STEPS_SQL}),
+tried AS (SELECT tag, threshold, {CELLS} FROM (SELECT tag, threshold, y, score >= threshold AS hit FROM scored, steps WHERE split = 'val') GROUP BY tag, threshold),
+tuned AS (SELECT tag, threshold FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END DESC, threshold) AS place FROM tried) WHERE place = 1),
+tested AS (SELECT tag, threshold, {CELLS} FROM (SELECT tag, threshold, y, score >= threshold AS hit FROM scored JOIN tuned USING (tag) WHERE split = 'test') GROUP BY tag, threshold)
+{sql_metrics('tested')}"""
+)
+def fixed_models_evaluation(spark, folder):
+    """Models by rule tuned on val and reported on test, all tags in one pass each."""
+    rows = labelled_vectors(spark, folder)
+    rows = materialise(multi_hot(rows, CLASS_TAGS, "tags").select("split", "features", *[f"y_{t}" for t in CLASS_TAGS]), "dataset")
+    size = len(rows.select("features").first()[0])
+    models = {tag: fixed_weights(k, size) for k, tag in enumerate(CLASS_TAGS)}
+    part = {s: rows.filter(F.col("split") == s) for s in ("val", "test")}
+    report = evaluate_per_tag(part["val"], part["test"], models)
+    return report.withColumns({c: F.round(c, 9) for c in METRICS})
 
 
 def run_on_documents(spark, folder, tfidf=False, train_only=False, method="xxhash64", vectors=VECTORS, text=None):

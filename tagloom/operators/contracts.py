@@ -16,6 +16,14 @@ def require_columns(df: DataFrame, names: Iterable[str], label: str) -> None:
         raise ValueError(f"{label}: missing required columns {missing}; found {df.columns}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, close to ``name``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 

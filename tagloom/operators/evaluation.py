@@ -10,11 +10,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.metrics import ratio, with_metrics
+from tagloom.operators.contracts import free_name
 
 # The thresholds a sweep tries, 0.01 to 0.96 in steps of 0.05.
 SWEEP = tuple(i / 100 for i in range(1, 100, 5))
@@ -143,14 +143,45 @@ def long_scores(df: DataFrame, tags: Sequence[str], scores: Column, truth: str =
     )
 
 
+def roc_auc(long: DataFrame, by: Sequence[str] = ("tag",)) -> DataFrame:
+    """(by..., positives, negatives, roc_auc) from rows with ``by``, ``y`` and ``score``: exact, all groups in one pass.
+
+    The area is the share of (positive, negative) pairs in which the positive has
+    the higher score, ties counting half. Rows of one score are counted together;
+    scores are then sorted in ranges over all groups, so one group with most of
+    the rows is spread like any other. Within a range negatives are summed up to
+    each score, and an exclusive sum over the few ranges of a group adds those
+    below. Rows without a score, or with labels other than 0 and 1, are left out;
+    NaN is the highest score. Null where a class is missing.
+    """
+    by = list(by)
+    y, score = F.col("y"), F.col("score").cast("double")
+    counts = long.filter(y.isin(0, 1) & score.isNotNull()).groupBy(*by, score.alias("score")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
+    )
+    place = free_name(counts, "range")
+    ranged = counts.repartitionByRange(*by, "score").withColumn(place, F.spark_partition_id())
+    inside = Window.partitionBy(*by, place).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("neg") / 2
+    parts = ranged.withColumn("won", F.col("pos") * below).groupBy(*by, place).agg(
+        F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    )
+    before = Window.partitionBy(*by).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0))
+    found = parts.withColumn("won", F.col("won") + lower).groupBy(*by).agg(
+        F.sum("won").alias("won"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
+    )
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    return found.select(*by, "positives", "negatives", F.try_divide(F.col("won"), pairs).alias("roc_auc"))
+
+
 def classification_report(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """Confusion metrics plus accuracy and exact ROC-AUC (sorted by Spark)."""
-    auc = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="score", metricName="areaUnderROC", numBins=0
-    ).evaluate(df.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score")))
+    """One row: confusion metrics plus accuracy and exact ROC-AUC, null where a class is missing. Lazy."""
     report = confusion_at(df, label, score, threshold)
+    ranked = roc_auc(df.select(F.lit("all").alias("tag"), F.col(label).alias("y"), F.col(score).alias("score")))
     total = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
-    return report.withColumns({"accuracy": ratio(F.col("tp") + F.col("tn"), total), "roc_auc": F.lit(auc)})
+    accuracy = ratio(F.col("tp") + F.col("tn"), total)
+    return report.withColumns({"accuracy": accuracy, "roc_auc": ranked.select("roc_auc").scalar()})
 
 
 def quadratic_kappa(df: DataFrame, actual: str, predicted: str) -> DataFrame:

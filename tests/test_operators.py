@@ -468,6 +468,73 @@ def test_stacked_probabilities_equal_each_model(spark):
         assert math.isclose(r["s"], own, rel_tol=1e-9)
 
 
+def slow_auc(pairs):
+    wins = [(s > t) + (s == t) / 2 for y, s in pairs if y == 1 for z, t in pairs if z == 0]
+    return sum(wins) / len(wins) if wins else None
+
+
+def test_areas_of_all_groups(spark):
+    rng = np.random.default_rng(8)
+    rows = [("wide", int(y), float(s)) for y, s in zip(rng.integers(0, 2, 3000), rng.random(3000))]
+    rows += [("ties", int(y), float(s) / 4) for y, s in zip(rng.integers(0, 2, 900), rng.integers(0, 4, 900))]
+    rows += [("one", 1, 0.5), ("gone", 1, None), ("gone", None, 0.3), ("gone", 2, 0.3), (None, 1, 0.7), (None, 0, 0.7), (None, 0, 0.1)]
+    df = spark.createDataFrame(rows, "tag string, y int, score double").repartition(7)
+    found = {r["tag"]: r["roc_auc"] for r in evaluation.roc_auc(df).collect()}
+    assert found.keys() == {"wide", "ties", "one", None} and found["one"] is None
+    for tag in ("wide", "ties", None):
+        assert math.isclose(found[tag], slow_auc([(y, s) for t, y, s in rows if t == tag]), rel_tol=1e-12)
+    assert evaluation.roc_auc(df.limit(0)).collect() == []
+    clash = df.withColumn("range", F.lit(1)).withColumnRenamed("tag", "place")
+    assert {r["place"]: r["roc_auc"] for r in evaluation.roc_auc(clash, ["place"]).collect()} == found
+    assert evaluation.classification_report(df.limit(0), "y", "score").first()["roc_auc"] is None
+
+
+def test_grid_search_equals_single_fits(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(3)
+    rows = [(k, int(y), [float(y) + rng.normal(), rng.normal()]) for k, y in enumerate(rng.integers(0, 2, 300))]
+    df = spark.createDataFrame(rows, "k int, y int, v array<double>").withColumn("v", array_to_vector("v")).cache()
+    found = training.grid_search(df, "k", "y", {"reg_param": [0.0, 0.5], "elastic_net": [0.0, 1.0]}, features="v", folds=3)
+    found = {(r["reg_param"], r["elastic_net"], r["fold"]): r["roc_auc"] for r in found.collect()}
+    assert len(found) == 12
+    for (reg, net, fold), area in found.items():
+        trainer = training.LogisticSpec(reg_param=reg, elastic_net=net).trainer("y", "v")
+        inside = training.fold_of("k", 3)
+        scored = trainer.fit(df.filter(inside != fold)).transform(df.filter(inside == fold))
+        alone = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="probability", numBins=0).evaluate(scored)
+        assert math.isclose(area, alone, abs_tol=1e-9)
+    df.unpersist()
+
+
+def test_fits_run_side_by_side(spark):
+    """As many at a time as asked for, each in a pool of its own, with results in order."""
+    import threading
+    import time
+
+    lock, now, most, pools = threading.Lock(), [0], [0], set()
+
+    def task(k):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+            pools.add(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        found = spark.range(k + 1).count()
+        time.sleep(0.2)
+        with lock:
+            now[0] -= 1
+        return found
+
+    tasks = [lambda k=k: task(k) for k in range(7)]
+    assert training.side_by_side(spark.range(1), tasks, 3) == list(range(1, 8))
+    assert most[0] == 3 and pools == {"fit-0", "fit-1", "fit-2"}
+    most[0] = 0
+    training.side_by_side(spark.range(1), tasks[:3], 1)
+    assert most[0] == 1
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
 def test_kappa_of_perfect_and_opposite(spark):
     df = spark.createDataFrame([(1, 1, 3), (2, 2, 2), (3, 3, 1)], "a int, same int, flipped int")
     assert evaluation.quadratic_kappa(df, "a", "same").first()[0] == 1.0
