@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.sources.storage import materialise
 
+#: Plan nodes that cost little to run again: reading, choosing and computing columns and rows.
+REPEATABLE = {"Project", "Filter", "Union", "Range", "LocalRelation", "LogicalRelation", "DataSourceV2ScanRelation"}
+#: Bytes of rows of frequent keys that are broadcast, at most.
+HOT_BYTES = 256 << 20
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a plan; nothing is run."""
@@ -19,6 +24,16 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
+def repeatable(df: DataFrame) -> bool:
+    """Whether a plan only scans tables and works row by row, without Python and without chance."""
+
+    def cheap(node) -> bool:
+        children = [node.children().apply(k) for k in range(node.children().size())]
+        return node.nodeName() in REPEATABLE and node.deterministic() and all(map(cheap, children))
+
+    return cheap(df._jdf.queryExecution().optimizedPlan())
+
+
 def join_to_one(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to a table with one row per key (``inner`` or ``left``).
 
@@ -33,39 +48,43 @@ def join_to_one(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -
 
 
 def join_split(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """``join_to_one`` by a shuffle that splits frequent keys.
-
-    The rows are written once, numbered, so that the plan behind them is
-    evaluated once however often they are read. A key with more rows than an
-    even share of a shuffle partition is dealt over as many parts as they fill,
-    by the rows' numbers, so equal rows part too; its single row in ``one`` is
-    copied to those parts. At most as many keys as there are shuffle partitions
-    can be that frequent, so the table of them is safe to broadcast. Rows with a
-    null key match nothing and never move: a left join keeps them where they
-    are. Numbers are stored, so a recomputed task deals its rows the same way.
+    """``join_to_one`` by a shuffle that frequent keys take no part in.
+
+    A mergeable sketch of the key column finds the keys with more rows than an even
+    share of a shuffle partition: at most as many as there are partitions. Their
+    rows in ``one`` are written, checked to be at most ``HOT_BYTES``, and broadcast;
+    the rows of ``many`` with such a key, and in a left join those without a key,
+    stay where they are. All other rows meet by a shuffle on the key. If the rows
+    of frequent keys are too large, every row is shuffled and skew is left to
+    adaptive execution.
+
+    ``many`` is read for the sketch (its key alone), for the rows that stay and for
+    those that move. A plan that does more than scan, filter and compute columns is
+    written once first.
+    """
+    source = many if repeatable(many) else materialise(many, "join")
+    hot = frequent_key(source, key)
+    present = F.col(key).isNotNull()
+    few = materialise(one.filter(hot), "frequent")
+    if estimated_bytes(few) > HOT_BYTES:
+        hot, few = F.lit(False), few.limit(0)
+    moving = source.filter(present & ~hot).join(one, key, how)
+    staying = source.filter(hot if how == "inner" else hot | ~present).join(F.broadcast(few), key, how)
+    return moving.unionByName(staying)
+
+
+def frequent_key(df: DataFrame, key: str) -> Column:
+    """Condition that holds for keys with more rows than an even share of a shuffle partition.
+
+    It may hold for a few others: counts are estimates, and keys go by a 64-bit
+    hash. Null keys are none. The sketch is Spark's ``approx_top_k``: each task
+    counts a bounded number of keys, and those counts merge.
     """
-    stored = materialise(many.withColumn("_row", F.monotonically_increasing_id()), "join")
-    keyed = stored.filter(F.col(key).isNotNull())
-    hot = F.broadcast(_frequent_keys(keyed, key))
-    dealt = keyed.join(hot, key, "left").withColumn(
-        "_part", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")).cast("int"), F.lit(0))
-    )
-    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
-    copied = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    joined = dealt.drop("_parts", "_row").join(copied.drop("_parts"), [key, "_part"], how)
-    columns = [key, *[c for c in many.columns if c != key], *[c for c in one.columns if c != key]]
-    if how == "inner":
-        return joined.select(*columns)
-    kinds = {f.name: f.dataType for f in one.schema if f.name != key}
-    alone = stored.filter(F.col(key).isNull())
-    missing = {c: F.lit(None).cast(kind) for c, kind in kinds.items()}
-    return joined.select(*columns).unionByName(alone.select(*[missing[c].alias(c) if c in missing else c for c in columns]))
-
-
-def _frequent_keys(stored: DataFrame, key: str) -> DataFrame:
-    """(key, _parts) for keys with more rows than an even share of a partition."""
-    partitions = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = stored.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = stored.agg(F.count(F.lit(1)).alias("n")).scalar()
-    share = F.col("n") * partitions / total
-    return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_parts"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(max(1024, 16 * partitions), 1_000_000)
+    top = F.expr(f"approx_top_k(h, {min(2 * partitions, tracked)}, {tracked})")
+    hashed = df.filter(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
+    found = hashed.agg(F.count(F.lit(1)).alias("rows"), top.alias("top")).first()
+    share = found["rows"] / partitions * (1 - 1 / 8)  # less the sketch's error
+    hashes = [r["item"] for r in found["top"] or [] if r["count"] > max(share, 1)]
+    return F.col(key).isNotNull() & F.xxhash64(key).isin(hashes) if hashes else F.lit(False)
