@@ -224,13 +224,12 @@ def minmax_scale(spark, folder):
 
 
 def sql_balanced(pick: str) -> str:
-    """Rows of each class repeated towards the smallest or largest class."""
+    """Rows of each class repeated to exactly the size of the smallest or largest class."""
     return f"""
-WITH r AS (SELECT o_orderkey, o_orderstatus, {sql_unit_hash('o_orderkey')} AS u FROM orders),
-have AS (SELECT o_orderstatus, count(*) AS m FROM r GROUP BY o_orderstatus),
-ratio AS (SELECT o_orderstatus, (SELECT {pick}(m) FROM have) / m::DOUBLE AS q FROM have),
-copies AS (SELECT o_orderkey, o_orderstatus, CAST(floor(q) AS INTEGER) + CAST(u < q - floor(q) AS INTEGER) AS k
-           FROM r JOIN ratio USING (o_orderstatus))
+WITH r AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42::' || o_orderkey)) AS place,
+                  count(*) OVER (PARTITION BY o_orderstatus) AS m FROM orders),
+want AS (SELECT {pick}(m) AS n FROM r),
+copies AS (SELECT o_orderkey, o_orderstatus, n // m + CAST(place <= n % m AS INTEGER) AS k FROM r, want)
 SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey, o_orderstatus, unnest(range(k)) FROM copies)"""
 
 
@@ -247,19 +246,15 @@ def oversample_minority(spark, folder):
 
 
 @query(
-    f"""
-WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS stars,
-                  {sql_unit_hash('o_orderkey')} AS u FROM orders),
+    """
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS stars FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY stars ORDER BY md5('42::' || o_orderkey)) AS place, count(*) OVER (PARTITION BY stars) AS m FROM s),
 want(stars, n) AS (VALUES (1, 500), (2, 4000), (3, 1000), (4, 6000)),
-have AS (SELECT stars, count(*) AS m FROM r GROUP BY stars),
-ratio AS (SELECT stars, coalesce(n / m::DOUBLE, 1) AS q FROM have LEFT JOIN want USING (stars)),
-copies AS (SELECT o_orderkey, stars, CAST(floor(q) AS INTEGER) + CAST(u < q - floor(q) AS INTEGER) AS k
-           FROM r JOIN ratio USING (stars)
-           UNION ALL SELECT o_orderkey, stars, 1 FROM r WHERE stars IS NULL)
+copies AS (SELECT o_orderkey, r.stars, CASE WHEN n IS NULL THEN 1 ELSE n // m + CAST(place <= n % m AS INTEGER) END AS k FROM r LEFT JOIN want USING (stars))
 SELECT o_orderkey, stars, count(*) AS n FROM (SELECT o_orderkey, stars, unnest(range(k)) FROM copies) GROUP BY ALL"""
 )
 def ordinal_resample(spark, folder):
-    """Star classes 1 to 4 brought to chosen sizes; class 5 and rows without stars stay as they are."""
+    """Star classes 1 to 4 brought to exactly the chosen sizes; class 5 and rows without stars stay as they are."""
     stars = F.when(F.col("o_orderkey") % 11 != 0, F.substring("o_orderpriority", 1, 1).cast("int"))
     orders = table(spark, folder, "orders").select("o_orderkey", stars.alias("stars"))
     out = resample(orders, "stars", {1: 500, 2: 4000, 3: 1000, 4: 6000}, "o_orderkey", method="md5")

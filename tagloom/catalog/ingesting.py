@@ -14,7 +14,7 @@ from tagloom.operators import cleaning, gold
 from tagloom.operators.contracts import keep_or_derive
 from tagloom.plans.ingest import land
 from tagloom.sources import csv_files
-from tagloom.sources.storage import scan, scratch_path, write_if_absent, write_table
+from tagloom.sources.storage import missing_paths, scan, scratch_path, write_if_absent, write_table
 
 
 def _as_csv(df, name: str) -> str:
@@ -117,6 +117,30 @@ def landed_counts(spark, folder):
     return landed.union(counted).union(quarantined)
 
 
+@query(
+    "SELECT 'documents' AS input, count(*) AS n, false AS missing FROM documents "
+    "UNION ALL SELECT 'orders', count(*), false FROM orders UNION ALL SELECT 'unheard_of', 0, true"
+)
+def required_inputs(spark, folder):
+    """Inputs checked before a job starts; what is missing is named, what is there is read."""
+    names = ("documents", "unheard_of", "orders")
+    paths = {name: f"{folder}/{name}.parquet" for name in names}
+    missing = missing_paths(spark, *paths.values())
+    counts = [
+        spark.range(1).select(F.lit(0).cast("bigint").alias("n")) if path in missing
+        else scan(spark, path).agg(F.count(F.lit(1)).alias("n")) for path in paths.values()
+    ]
+    rows = [c.select(F.lit(name).alias("input"), "n", F.lit(paths[name] in missing).alias("missing")) for name, c in zip(names, counts, strict=True)]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+@query("SELECT o_orderkey, '' AS review_clean, CAST(1 AS INTEGER) AS token_count FROM orders")
+def review_text_absent(spark, folder):
+    """A table without the text column gets an empty text, which counts as one token."""
+    rows = cleaning.with_clean_review(table(spark, folder, "orders"))
+    return cleaning.with_token_count(rows).select("o_orderkey", "review_clean", "token_count")
+
+
 @query("SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang")
 def partitioned_sink(spark, folder):
     """Write partitioned by language with balanced files, read back."""

@@ -33,6 +33,16 @@ def unit_hash(value: Column, *, seed: int = 42, method: str = "xxhash64") -> Col
     raise ValueError(f"Unknown hash method: {method}")
 
 
+def order_hash(value: Column, *, seed: int = 42, method: str = "xxhash64") -> Column:
+    """Hex digits of a seeded hash, by which rows have an order that no layout changes."""
+    salted = F.concat_ws(SEED_SEPARATOR, F.lit(str(seed)), value.cast("string"))
+    if method == "xxhash64":
+        return F.lpad(F.hex(F.xxhash64(salted)), 16, "0")
+    if method == "md5":
+        return F.md5(salted)
+    raise ValueError(f"Unknown hash method: {method}")
+
+
 def split_name(
     entity: Column,
     *,

@@ -35,12 +35,12 @@ def repeatable(df: DataFrame) -> bool:
 
 
 def join_to_one(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join rows to a table with one row per key (``inner`` or ``left``).
+    """Join rows to a table with one row per key (``inner``, ``left`` or ``left_anti``).
 
     What Spark broadcasts by the session's threshold is left to Spark; larger
     tables go through ``join_split``. Both give the same rows.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"Unsupported join type: {how}")
     if estimated_bytes(one) <= broadcast_limit(one):
         return many.join(one, key, how)
@@ -53,8 +53,8 @@ def join_split(many: DataFrame, one: DataFrame, key: str, how: str = "inner") ->
     A mergeable sketch of the key column finds the keys with more rows than an even
     share of a shuffle partition: at most as many as there are partitions. Their
     rows in ``one`` are written, checked to be at most ``HOT_BYTES``, and broadcast;
-    the rows of ``many`` with such a key, and in a left join those without a key,
-    stay where they are. All other rows meet by a shuffle on the key. If the rows
+    the rows of ``many`` with such a key, and those without a key that the join
+    keeps, stay where they are. All other rows meet by a shuffle on the key. If the rows
     of frequent keys are too large, every row is shuffled and skew is left to
     adaptive execution.
 

@@ -125,6 +125,27 @@ def label_report(df: DataFrame, labels: str = "zs_labels") -> DataFrame:
     return counted.select("tag", "n", (F.col("n") * 100.0 / counted.agg(F.sum("rows")).scalar()).alias("pct"))
 
 
+def distinct_sketches(df: DataFrame, key: str, by: Sequence[str] = (), *, precision: int = 14) -> DataFrame:
+    """(by..., n_rows, sketch): a mergeable sketch of the distinct keys of each group.
+
+    Sketches of parts, of days say, can be stored and merged, so a distinct count
+    over many of them needs no pass over their rows. Null keys are left out.
+    """
+    name = F.when(F.col(key).isNotNull(), F.xxhash64(key))
+    return df.groupBy(*by).agg(F.count(ROWS).alias("n_rows"), F.hll_sketch_agg(name, precision).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, by: Sequence[str] = (), *, precision: int = 14, deviations: float = 3.0) -> DataFrame:
+    """(by..., n_rows, n_keys, error): distinct keys of merged sketches, and how far the count may be off.
+
+    ``error`` is ``deviations`` standard errors of 1.04 / sqrt(2^precision) of the count.
+    """
+    counted = sketches.groupBy(*by).agg(
+        F.sum("n_rows").alias("n_rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_keys")
+    )
+    return counted.withColumn("error", F.ceil(F.col("n_keys") * (deviations * 1.04 / 2 ** (precision / 2))))
+
+
 def label_summary(df: DataFrame, key: str = "review_key") -> DataFrame:
     """One row: rows, distinct keys, label averages, fallback and zero-label shares.
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import dot, matrix_product, norm, raw_array_column, unit_rows
+from tagloom.operators.contracts import free_name
 
 # Bytes of unit vectors that one plan carries; more are scored in blocks of tags.
 BLOCK_BYTES = 8 * 1024 * 1024
@@ -73,8 +74,9 @@ def score_wide(
     df: DataFrame, model: TagModel, *, vector: str = "features", prefix: str = "sim_", engine: str = "arrow"
 ) -> DataFrame:
     """One ``sim_<tag>`` column per centroid, all from a single pass over the row."""
-    scored = df.withColumn("_sims", similarities(raw_array_column(df, vector), model, engine))
-    columns = {f"{prefix}{t}": F.get("_sims", F.lit(i)) for i, t in enumerate(model.tags)}
+    sims = free_name(df, "sims")
+    scored = df.withColumn(sims, similarities(raw_array_column(df, vector), model, engine))
+    columns = {f"{prefix}{t}": F.get(sims, F.lit(i)) for i, t in enumerate(model.tags)}
     return scored.select(*df.columns, *[c.alias(name) for name, c in columns.items()])
 
 
@@ -92,9 +94,10 @@ def score_long(
         name, value = where_split
         df = df.filter(F.col(name) == value)
     names = F.array(*[F.lit(t) for t in model.tags])
-    scored = df.select(*keep, similarities(raw_array_column(df, vector), model, engine).alias("_sims"))
-    return scored.select(*keep, F.posexplode("_sims").alias("_place", "sim")).select(
-        *keep, F.get(names, F.col("_place")).alias("tag"), "sim"
+    sims, place = free_name(df, "sims"), free_name(df, "place")
+    scored = df.select(*keep, similarities(raw_array_column(df, vector), model, engine).alias(sims))
+    return scored.select(*keep, F.posexplode(sims).alias(place, "sim")).select(
+        *keep, F.get(names, F.col(place)).alias("tag"), "sim"
     )
 
 
@@ -133,11 +136,12 @@ def assigned_long(df: DataFrame, model: TagModel, *, keep: Sequence[str], vector
     """(row, tag, sim) for the tags whose threshold the row reaches."""
     limits = F.array(*[F.lit(float(model.thresholds.get(t, np.inf))) for t in model.tags])
     names = F.array(*[F.lit(t) for t in model.tags])
-    scored = df.select(*keep, similarities(raw_array_column(df, vector), model).alias("_sims"))
+    sims, place = free_name(df, "sims"), free_name(df, "place")
+    scored = df.select(*keep, similarities(raw_array_column(df, vector), model).alias(sims))
     return (
-        scored.select(*keep, F.posexplode("_sims").alias("_place", "sim"))
-        .filter(F.col("sim") >= F.get(limits, F.col("_place")))
-        .select(*keep, F.get(names, F.col("_place")).alias("tag"), "sim")
+        scored.select(*keep, F.posexplode(sims).alias(place, "sim"))
+        .filter(F.col("sim") >= F.get(limits, F.col(place)))
+        .select(*keep, F.get(names, F.col(place)).alias("tag"), "sim")
     )
 
 

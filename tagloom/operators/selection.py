@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.keys import SEED_SEPARATOR
 from tagloom.functions.text import contains_any_word
+from tagloom.operators.contracts import free_name
+from tagloom.operators.joins import join_to_one
 
 # Words that mark a review as risky for each under-labelled tag.
 RISK_WORDS = {
@@ -74,8 +76,8 @@ def conflict_candidates(
 
 
 def without_keys(df: DataFrame, done: DataFrame, key: str = "review_key") -> DataFrame:
-    """Rows whose key is not in ``done``."""
-    return df.join(done.select(key).distinct(), key, "left_anti")
+    """Rows whose key is not in ``done``; rows without a key stay. A frequent key of the rows is no one task's work."""
+    return join_to_one(df, done.select(key).distinct(), key, "left_anti")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -88,12 +90,14 @@ def one_per_key(
     """Union by name, one row per key. A later frame wins; within a frame the
     greatest ``prefer`` columns win. Repeats collapse before the shuffle."""
     first, *rest = frames
-    stacked = first.withColumn("_frame", F.lit(0))
+    number = free_name(first, "frame")
+    stacked = first.withColumn(number, F.lit(0))
     for position, frame in enumerate(rest, start=1):
-        stacked = stacked.unionByName(frame.withColumn("_frame", F.lit(position)))
+        stacked = stacked.unionByName(frame.withColumn(number, F.lit(position)))
     fields = [c for c in first.columns if c != key]
-    kept = F.max_by(F.struct(*fields), F.struct("_frame", *prefer)).alias("kept")
-    return stacked.groupBy(key).agg(kept).select(key, "kept.*").select(*first.columns)
+    row = free_name(first, "row")
+    kept = F.max_by(F.struct(*fields), F.struct(number, *prefer)).alias(row)
+    return stacked.groupBy(key).agg(kept).select(key, f"{row}.*").select(*first.columns)
 
 
 def top_groups(df: DataFrame, by: Sequence[str], rating: str, liked: str, n: int = 10) -> DataFrame:

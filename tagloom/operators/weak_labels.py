@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import clean_words, stopword_list
-from tagloom.operators.contracts import require_columns
+from tagloom.operators.contracts import free_name, require_columns
 from tagloom.operators.taxonomy import V1, Taxonomy
 
 # Fixed value: the sentence a classifier is asked to judge, per hypothesis.
@@ -64,9 +64,10 @@ def with_lexicon_scores(
         words_of.append(sorted(words - skipped or words))
     vocabulary = sorted({w for words in words_of for w in words})
     hits = F.array_intersect(clean_words(F.col(text)), _strings(vocabulary))
-    found = df.withColumn("_hits", hits)
-    shares = [F.size(F.array_intersect(F.col("_hits"), _strings(w))) / len(w) for w in words_of]
-    return found.withColumn(out, F.array(*shares)).drop("_hits")
+    name = free_name(df, "hits")
+    found = df.withColumn(name, hits)
+    shares = [F.size(F.array_intersect(F.col(name), _strings(w))) / len(w) for w in words_of]
+    return found.withColumn(out, F.array(*shares)).drop(name)
 
 
 def _clean_words(hypothesis: str) -> list[str]:

@@ -1,8 +1,13 @@
-"""Weak labelling of a sample: prepare, label (resumable), attach."""
+"""Weak labelling of a sample: prepare, label (resumable), attach.
+
+The unit of work is a chunk, a folder of the input. What is done is what the log beside
+the output says, never what the output happens to hold.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +16,12 @@ from pyspark.sql import functions as F
 from tagloom.operators.cleaning import with_min_tokens
 from tagloom.operators.gold import attach_by_key
 from tagloom.operators.selection import sample_cut
+from tagloom.operators.training import side_by_side
 from tagloom.operators.weak_labels import Scorer, WeakLabelConfig, label
-from tagloom.sources.storage import path_exists, scan, write_table
+from tagloom.sources.storage import create_if_absent, scan, small_files, write_table
 
 CHUNK = "chunk"
+LOG_SCHEMA = f"{CHUNK} int, rows long, digest long"
 
 
 def choose(reviews: DataFrame, cfg: WeakLabelConfig) -> DataFrame:
@@ -35,31 +42,74 @@ def prepare(
     return write_table(placed, out, partition_by=[CHUNK], balance=True)
 
 
-def pending(spark: SparkSession, input_path: str, output_path: str, key: str) -> DataFrame:
-    """Input rows whose key has no output yet."""
+def _log(output_path: str) -> str:
+    return f"{output_path}/_log"  # readers of the table skip names that begin so
+
+
+def committed(spark: SparkSession, output_path: str) -> dict[int, tuple[int, int]]:
+    """{chunk: (rows, digest)} of the chunks that are done; the log is read, not the table."""
+    files = list(small_files(spark, _log(output_path)).values())
+    rows = spark.read.schema(LOG_SCHEMA).json(files).collect() if files else []
+    return {r[CHUNK]: (r["rows"], r["digest"]) for r in rows}
+
+
+def labelled(spark: SparkSession, output_path: str) -> DataFrame:
+    """The labels of committed chunks; without a log the whole table, as ``label_once`` writes it."""
+    stored = spark.read.parquet(output_path)
+    if CHUNK not in stored.columns:
+        return stored
+    done = list(committed(spark, output_path))
+    return stored.filter(F.col(CHUNK).isin(done)) if done else stored.limit(0)
+
+
+def pending(spark: SparkSession, input_path: str, output_path: str) -> DataFrame:
+    """Input rows of the chunks without a commit."""
+    done = list(committed(spark, output_path))
     todo = spark.read.parquet(input_path)
-    if not path_exists(spark, output_path):
-        return todo
-    done = spark.read.parquet(output_path).select(CHUNK, key)
-    return todo.join(done, [CHUNK, key], "left_anti")
+    return todo.filter(~F.col(CHUNK).isin(done)) if done else todo
+
+
+def _content(rows: DataFrame, key: str) -> tuple[int, int]:
+    """(rows, digest of their keys); the digest does not depend on order."""
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(F.xxhash64(key)), F.lit(0)).alias("digest")).first()
+    return found["rows"], found["digest"]
 
 
 def label_pending(
     spark: SparkSession, input_path: str, output_path: str, cfg: WeakLabelConfig,
-    load: Callable[[], Scorer] | None = None,
+    load: Callable[[], Scorer] | None = None, *, chunks: Sequence[int] | None = None, parallelism: int = 2,
 ) -> int:
-    """Label what is left, chunk by chunk, appending; returns the rows labelled.
+    """Label the chunks that have no commit, ``parallelism`` at a time; returns the rows labelled.
 
-    A chunk is committed whole or not at all, so after a failure the next call
-    goes on from the last finished chunk and never labels a key twice.
+    A chunk's folder is written anew, counted, and then entered in the log by a
+    file that is created last. Whatever an attempt without an entry has left is
+    overwritten, so a failure leaves no half rows and no double ones, and the next
+    call goes on with the chunks that are not in the log. ``chunks`` restricts the
+    call. A failed chunk raises its error after the others have ended.
     """
-    left = pending(spark, input_path, output_path, cfg.key)
-    by_chunk = {r[CHUNK]: r["count"] for r in left.groupBy(CHUNK).count().collect()}
-    for chunk in sorted(by_chunk):
-        rows = pending(spark, input_path, output_path, cfg.key).filter(F.col(CHUNK) == chunk)
-        out = label(rows, cfg, load).withColumn(CHUNK, F.lit(chunk))
-        write_table(out, output_path, mode="append", partition_by=[CHUNK])
-    return sum(by_chunk.values())
+    todo = spark.read.parquet(input_path)
+    done = committed(spark, output_path)
+    left = sorted(r[CHUNK] for r in todo.select(CHUNK).distinct().collect() if r[CHUNK] not in done)
+    if chunks is not None:
+        left = [chunk for chunk in left if chunk in chunks]
+
+    def run(chunk: int) -> int:
+        folder = f"{output_path}/{CHUNK}={chunk}"
+        write_table(label(todo.filter(F.col(CHUNK) == chunk), cfg, load), folder)
+        rows, digest = _content(spark.read.parquet(folder), cfg.key)
+        entry = json.dumps({CHUNK: chunk, "rows": rows, "digest": digest})
+        create_if_absent(spark, f"{_log(output_path)}/{chunk:012d}.json", entry)
+        return rows
+
+    return sum(side_by_side(todo, [lambda chunk=chunk: run(chunk) for chunk in left], parallelism))
+
+
+def changed_chunks(spark: SparkSession, output_path: str, key: str) -> list[int]:
+    """Committed chunks whose rows are no longer those of their log entry."""
+    digest = F.coalesce(F.bit_xor(F.xxhash64(key)), F.lit(0))
+    found = spark.read.parquet(output_path).groupBy(CHUNK).agg(F.count(F.lit(1)).alias("rows"), digest.alias("digest"))
+    stored = {r[CHUNK]: (r["rows"], r["digest"]) for r in found.collect()}
+    return sorted(chunk for chunk, entry in committed(spark, output_path).items() if stored.get(chunk, (0, 0)) != entry)
 
 
 def label_once(
@@ -73,5 +123,5 @@ def label_once(
 
 def attach(spark: SparkSession, reviews_path: str, labels_path: str, out: str, key: str = "review_key") -> str:
     """Reviews that have labels, with them, as a table."""
-    labels = spark.read.parquet(labels_path).drop(CHUNK)
+    labels = labelled(spark, labels_path).drop(CHUNK)
     return write_table(attach_by_key(spark.read.parquet(reviews_path), labels, key), out)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators.contracts import not_null as with_values
@@ -19,8 +21,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
 
+def missing_paths(spark: SparkSession, *paths: str) -> list[str]:
+    return [p for p in paths if not path_exists(spark, p)]
+
+
 def require_paths(spark: SparkSession, *paths: str) -> None:
-    missing = [p for p in paths if not path_exists(spark, p)]
+    missing = missing_paths(spark, *paths)
     if missing:
         raise FileNotFoundError("Missing required input(s): " + ", ".join(missing))
 
@@ -45,6 +51,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it is there; True for exactly one of any number of writers.
+
+    A local file appears with its content at once, by a hard link; elsewhere the
+    file system's own exclusive create decides.
+    """
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if system.getScheme() == "file":
+        place = target.toUri().getPath()
+        draft = os.path.join(os.path.dirname(place), f".{uuid.uuid4().hex}")
+        with open(draft, "w", encoding="utf-8") as file:
+            file.write(text)
+        try:
+            os.link(draft, place)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
+    try:
+        stream = system.create(target, False)
+    except Py4JJavaError:
+        if system.exists(target):
+            return False
+        raise
+    stream.write(text.encode())
+    stream.close()
+    return True
+
+
+def small_files(spark: SparkSession, folder: str, ending: str = ".json") -> dict[str, str]:
+    """{name without ending: path} of the files in a folder, in order of names; empty if it is not there."""
+    if not path_exists(spark, folder):
+        return {}
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [status.getPath().getName() for status in target.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(target)]
+    return {name[: -len(ending)]: f"{folder}/{name}" for name in sorted(names) if name.endswith(ending) and not name.startswith(".")}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that is no longer read, on any file system Spark can reach."""
     context = spark.sparkContext

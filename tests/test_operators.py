@@ -458,17 +458,44 @@ def test_co_occurrence_is_symmetric(spark):
     assert found == {("a", "a"): 3, ("a", "b"): 3, ("b", "a"): 3, ("b", "b"): 4}
 
 
-def test_resampling(spark):
+@pytest.mark.parametrize("method", ["xxhash64", "md5"])
+def test_resampling(spark, method):
     df = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, "rare").otherwise("common").alias("c"))
-    for balanced, size in ((balancing.undersample(df, "c", "id"), 400), (balancing.oversample(df, "c", "id"), 3600)):
-        counts = dict(balanced.groupBy("c").count().collect())
-        assert all(abs(n - size) < 0.1 * size for n in counts.values())
+    kwargs = {"method": method}
+    for balanced, size in ((balancing.undersample(df, "c", "id", **kwargs), 400), (balancing.oversample(df, "c", "id", **kwargs), 3600)):
+        assert dict(balanced.groupBy("c").count().collect()) == {"rare": size, "common": size}
+    sized = balancing.resample(df, "c", {"rare": 1037, "common": 1}, "id", **kwargs)
+    assert dict(sized.groupBy("c").count().collect()) == {"rare": 1037, "common": 1}
+    times = {r["count"] for r in sized.filter("c = 'rare'").groupBy("id").count().collect()}
+    assert times == {2, 3}
+    other = balancing.resample(df.repartition(7), "c", {"rare": 1037, "common": 1}, "id", **kwargs)
+    assert other.exceptAll(sized).count() == 0
     mixed = df.withColumn("c", F.when(F.col("id") % 7 != 0, F.col("c")))
-    kept = dict(balancing.resample(mixed, "c", {"rare": 0}, "id").groupBy("c").count().collect())
+    kept = dict(balancing.resample(mixed, "c", {"rare": 0}, "id", **kwargs).groupBy("c").count().collect())
     assert kept == {None: 572, "common": mixed.filter("c = 'common'").count()}
     assert balancing.undersample(mixed, "c", "id").filter("c is null").count() == 572
     assert balancing.oversample(mixed, "c", "id").filter("c is null").count() == 572
     assert balancing.resample(df, "c", {}, "id").count() == 4000
+    assert balancing.undersample(df.limit(0), "c", "id").count() == 0
+
+
+def test_helper_columns_do_not_clash(spark):
+    """Tables with columns named like the operators' own keep them."""
+    names = ["size", "times", "last", "copy", "range", "sims", "place", "frame", "hits", "raw", "_row", "_part", "c"]
+    df = spark.range(40).select("id", F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("k"), *[F.lit(n).alias(n) for n in names])
+    out = balancing.undersample(df, "k", "id")
+    assert out.columns == df.columns and out.count() == 20 and out.filter("copy = 'copy' AND size = 'size' AND c = 'c'").count() == 20
+    texts = weak_labels.with_lexicon_scores(df.withColumn("review_clean", F.lit("too salty")))
+    assert texts.columns == [*df.columns, "review_clean", "hypothesis_scores"] and texts.first()["hits"] == "hits"
+    one = selection.one_per_key([df, df.withColumn("hits", F.lit("new"))], "id")
+    assert one.columns == df.columns and one.filter("hits = 'new' AND frame = 'frame'").count() == 40
+    model = scoring.TagModel.load(spark.createDataFrame([("t", [1.0, 0.0])], "tag string, centroid array<double>"))
+    rows = df.withColumn("features", F.array(F.lit(1.0), F.lit(1.0)))
+    assert scoring.score_wide(rows, model).columns == [*rows.columns, "sim_t"]
+    assert scoring.score_long(rows, model, keep=["id", "sims", "place"]).columns == ["id", "sims", "place", "tag", "sim"]
+    assert scoring.assigned_long(rows, model, keep=["id", "place"]).columns == ["id", "place", "tag", "sim"]
+    scaled = balancing.fit_min_max(df.withColumn("v", F.col("id").cast("double")), ["v"]).transform(df.withColumn("v", F.col("id").cast("double")))
+    assert scaled.first()["raw"] == "raw"
 
 
 def test_usable_vectors(spark):

@@ -96,21 +96,32 @@ def test_shared_folder_follows_the_session(spark):
     assert storage.materialise(spark.range(3)).count() == 3
 
 
-def test_labelling_resumes(spark, tmp_path):
+def labelling_job(spark, tmp_path, chunks=4):
     reviews, todo, out = (str(tmp_path / n) for n in ("reviews", "todo", "out"))
     text = " ".join(["too", "salty"] * 10)
     rows = spark.range(1, 41).select(F.col("id").cast("string").alias("review_key"), F.lit(text).alias("review_clean"))
     rows.write.parquet(reviews)
     cfg = WeakLabelConfig(sample_n=40)
-    labelling.prepare(spark, reviews, todo, cfg, chunk_rows=10)
+    labelling.prepare(spark, reviews, todo, cfg, chunk_rows=40 // chunks)
     assert spark.read.parquet(todo).count() == 40
-    first = labelling.pending(spark, todo, out, "review_key").filter("cast(review_key as int) <= 5")
-    done = labelling.label(first, cfg).join(first.select("review_key", "chunk"), "review_key")
-    storage.write_table(done, out, partition_by=["chunk"])
-    assert labelling.label_pending(spark, todo, out, cfg) == 35
+    return reviews, todo, out, cfg
+
+
+def test_labelling_resumes(spark, tmp_path):
+    reviews, todo, out, cfg = labelling_job(spark, tmp_path)
+    # What an attempt without a log entry has left is written anew, not added to.
+    first = labelling.pending(spark, todo, out).filter("cast(review_key as int) <= 5")
+    left = labelling.label(first, cfg).join(first.select("review_key", "chunk"), "review_key")
+    storage.write_table(left, out, partition_by=["chunk"])
+    assert labelling.labelled(spark, out).count() == 0
+    some = labelling.label_pending(spark, todo, out, cfg, chunks=[0, 2])
+    assert 0 < some < 40 and labelling.labelled(spark, out).count() == some
+    assert labelling.pending(spark, todo, out).count() == 40 - some
+    assert labelling.label_pending(spark, todo, out, cfg, parallelism=3) == 40 - some
     assert labelling.label_pending(spark, todo, out, cfg) == 0
-    stored = spark.read.parquet(out)
+    stored = labelling.labelled(spark, out)
     assert stored.count() == stored.select("review_key").distinct().count() == 40
+    assert labelling.changed_chunks(spark, out, "review_key") == []
     labelling.attach(spark, reviews, out, str(tmp_path / "labelled"))
     labelled = spark.read.parquet(str(tmp_path / "labelled"))
     assert labelled.count() == 40 and labelled.first()["zs_labels"] == ["too_salty"]
@@ -118,6 +129,51 @@ def test_labelling_resumes(spark, tmp_path):
     assert spark.read.parquet(once).count() == 40
 
 
+def test_a_chunk_that_fails_leaves_nothing(spark, tmp_path):
+    """A scorer that fails midway: other chunks are committed, the next call redoes the failed one alone."""
+    _, todo, out, cfg = labelling_job(spark, tmp_path)
+    bad = spark.read.parquet(todo).filter("review_key = '7'").first()["chunk"]
+    victim = spark.read.parquet(todo).filter(F.col("chunk") == bad).withColumn(
+        "review_clean", F.when(F.col("review_key") == "7", "poison " * 20).otherwise(F.col("review_clean")))
+    storage.write_table(storage.materialise(victim.drop("chunk")), f"{todo}/chunk={bad}")
+
+    def load(broken):
+        def score(texts, prompts):
+            if broken and any("poison" in t for t in texts):
+                raise RuntimeError("scorer failed")
+            return [[0.9] * len(prompts) for _ in texts]
+
+        return lambda: score
+
+    with pytest.raises(Exception, match="scorer failed"):
+        labelling.label_pending(spark, todo, out, cfg, load(True), parallelism=2)
+    done = labelling.committed(spark, out)
+    assert bad not in done and len(done) == 3
+    rows = labelling.labelled(spark, out).count()
+    assert labelling.label_pending(spark, todo, out, cfg, load(False)) == 40 - rows
+    stored = labelling.labelled(spark, out)
+    assert stored.count() == stored.select("review_key").distinct().count() == 40
+    storage.write_table(storage.materialise(stored.filter("review_key = '7'").drop("chunk")), f"{out}/chunk={bad}")
+    assert labelling.changed_chunks(spark, out, "review_key") == [bad]
+
+
+def test_positions_are_claimed_by_one_writer(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    base = str(tmp_path / "runs")
+    names = [f"run-{k}" for k in range(12)]
+    with ThreadPoolExecutor(4) as pool:
+        positions = list(pool.map(lambda name: runs.register_run(spark, base, name), names))
+    assert sorted(positions) == list(range(1, 13))
+    found = runs.latest_runs(spark, base, 100)
+    assert [r[0] for r in found] == [names[positions.index(p)] for p in range(12, 0, -1)]
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: storage.create_if_absent(spark, f"{base}/claims/one", f"{k}\n" * 1000), range(8)))
+    assert sum(won) == 1
+    assert (tmp_path / "runs/claims/one").read_text() == f"{won.index(True)}\n" * 1000
+    assert storage.small_files(spark, f"{base}/nowhere") == {}
+
+
 def tokens(spark, n=200):
     vocabulary = ["salt", "sugar", "soup", "bread", "crisp", "dry"]
     picks = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.get(
