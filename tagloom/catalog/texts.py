@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tagloom.catalog.bindings import clean_documents, raw_interactions, sql_clean, sql_strings
@@ -199,15 +198,17 @@ def tfidf_by_term(spark, folder):
     f"WITH {SQL_TOKENS} SELECT doc_id, CAST(len(kept) + greatest(len(kept) - 1, 0) AS DOUBLE) AS n_terms, true AS weighed FROM kept"
 )
 def tfidf_hashed(spark, folder):
-    """Hashed TF-IDF. Buckets exist only in Spark; the hashed counts of a row sum to its terms."""
+    """Hashed TF-IDF. Buckets exist only in Spark; the hashed counts of a row sum to its terms, and each has its weight."""
     spec = TextSpec()
     docs = clean_documents(spark, folder).select("doc_id", "review_clean")
     prepared = token_stages(spec).fit(docs).transform(docs)
     terms = materialise(prepared.select("doc_id", spec.terms), "terms")
     weighed = tfidf_stages(spec).fit(terms).transform(terms)
-    counts, weights = vector_to_array(f"{spec.tfidf}_tf"), vector_to_array(spec.tfidf)
-    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    return weighed.select("doc_id", total.alias("n_terms"), (F.size(weights) == spec.hash_buckets).alias("weighed"))
+    # The stored parts of the sparse vectors, not arrays of all buckets.
+    counts, weights = F.unwrap_udt(f"{spec.tfidf}_tf"), F.unwrap_udt(spec.tfidf)
+    total = F.aggregate(counts["values"], F.lit(0.0), lambda a, x: a + x)
+    same = (weights["size"] == spec.hash_buckets) & (weights["indices"] == counts["indices"]) & F.forall(weights["values"], lambda x: x >= 0)
+    return weighed.select("doc_id", total.alias("n_terms"), same.alias("weighed"))
 
 
 # A word's vector here is (length, first digest digit) over a prime, so that no
