@@ -182,7 +182,10 @@ def encoder_of(path: str, pattern: str) -> PieceEncoder:
         ids = dict(zip(parts, ranks.encode(parts), strict=True))
         return [b"".join([ids[part] for part in x]) for x in cut]
 
-    return PieceEncoder(lambda words: ranks.encode([(" " + word).encode() for word in words]), whole)
+    def letters(words: Sequence[str], led: bool) -> list[bytes]:
+        return ranks.encode([(" " + word if led else word).encode() for word in words])
+
+    return PieceEncoder(letters, whole)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:

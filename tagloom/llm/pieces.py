@@ -2,100 +2,145 @@
 
 A tokenizer that first splits a text and then merges inside the parts gives the
 same ids for a piece wherever it stands. Texts are cut where a blank is followed by
-something that is not white space: there every splitting pattern in use starts a
-new part. The ids of a piece are kept in a bounded memo.
+something that is not white space, and where a newline stands between two characters
+that are not: there every splitting pattern in use starts a new part. The ids of a
+piece are kept in a memo bounded by bytes.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 from itertools import chain
 
 from tokenizers import Tokenizer
 
-from tagloom.llm.common import unknown
-
-#: Entries of each memo; a matter of memory (about 200 bytes each), not of results.
-MEMO = 500_000
+#: Bytes of each of the two generations of a memo; a matter of memory, not of results.
+MEMO_BYTES = 96 << 20
+#: What an entry takes besides its key and ids, and the longest key that is kept.
+ENTRY_BYTES, LONGEST = 180, 64
 IRREGULAR = re.compile(r" (?:\s|\Z)")
+IRREGULAR_LINES = re.compile(r"\n(?:(?!\S)|(?<!\S\n))")
+BETWEEN_LINES = re.compile(r"(?<=\S)\n(?=\S)")
 #: ASCII marks that are neither letters, digits, blanks nor apostrophes.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def units(text: str) -> list[str]:
-    """Cut a text before every blank that something other than white space follows.
+    """Cut a text before every blank that something other than white space follows, and
+    before every newline between two characters that are no white space.
 
-    The first unit has no leading blank, all others have lost theirs.
+    The first unit has no leading blank, others have lost theirs; a unit that
+    begins with a newline had none.
     """
-    cut = text.split(" ")
-    if len(cut) > 1 and IRREGULAR.search(text):
-        joined = cut[:1]
-        for unit in cut[1:]:
-            if not unit or unit[0].isspace():
-                joined[-1] += " " + unit
-            else:
-                joined.append(unit)
-        return joined
-    return cut
+    if not IRREGULAR.search(text):
+        if "\n" in text:
+            text = BETWEEN_LINES.sub(" \n", text) if IRREGULAR_LINES.search(text) else text.replace("\n", " \n")
+        return text.split(" ")
+    first, *rest = text.split(" ")
+    joined = [first]
+    for unit in rest:
+        if not unit or unit[0].isspace():
+            joined[-1] += " " + unit
+        else:
+            joined.append(unit)
+    return joined
+
+
+class Memo:
+    """Ids of keys in two generations: when the newer is full it becomes the older, whose keys are
+    taken over when they are used again and forgotten when they are not. Long keys are not kept."""
+
+    def __init__(self, limit: int):
+        self.limit, self.held = limit, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, wanted: Sequence[str], learn: Callable[[list[str]], Sequence[bytes]]) -> dict[str, bytes]:
+        """{key: ids} of different keys; what is not known is learned together."""
+        found = dict(zip(wanted, map(self.new.get, wanted), strict=True))
+        absent = [key for key, ids in found.items() if ids is None]
+        if not absent:
+            return found
+        again = dict(zip(absent, map(self.old.get, absent), strict=True))
+        missing = [key for key, ids in again.items() if ids is None]
+        again.update(zip(missing, learn(missing), strict=True))
+        found.update(again)
+        if max(map(len, again)) > LONGEST:
+            again = {key: ids for key, ids in again.items() if len(key) <= LONGEST}
+        self.new.update(again)
+        self.held += ENTRY_BYTES * len(again) + 2 * sum(map(len, again)) + sum(map(len, again.values()))
+        if self.held > self.limit:
+            self.old, self.new, self.held = self.new, {}, 0
+        return found
+
+    def get(self, key: str) -> bytes | None:
+        ids = self.new.get(key)
+        return self.old.get(key) if ids is None else ids
 
 
 class PieceEncoder:
-    """Ids of texts through a memo of units.
+    """Ids of texts through memos of units.
 
-    ``words`` encodes units of letters alone, each with a blank before it;
-    ``whole`` encodes any text by the full rules. A unit of letters with marks
-    behind them is its word and its marks; all others are left to ``whole``.
+    ``letters(words, led)`` encodes words of letters alone, with a blank before
+    each if ``led``; ``whole`` encodes any text by the full rules. A unit of
+    letters with marks behind them is its word and its marks, and a newline before
+    it is encoded by itself; all other units are left to ``whole``.
     """
 
     def __init__(
         self,
-        words: Callable[[Sequence[str]], Sequence[bytes]],
+        letters: Callable[[Sequence[str], bool], Sequence[bytes]],
         whole: Callable[[Sequence[str]], Sequence[bytes]],
-        memo: int = MEMO,
+        width: int = 4,
+        memo_bytes: int = MEMO_BYTES,
     ):
-        self.words, self.whole, self.width, self.memo = words, whole, 4, memo
-        self.known: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _learn(self, new: Iterable[str]) -> None:
-        known, marked, odd, letters = self.known, [], [], []
+        self.letters, self.whole, self.width = letters, whole, width
+        self.known = Memo(memo_bytes)
+        self.first, self.marks = Memo(memo_bytes // 8), Memo(memo_bytes // 8)
+        self.newline = whole(["\n"])[0]
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        words = [unit for unit in new if unit.isalpha()]
+        made = dict(zip(words, self.letters(words, True), strict=True))
+        marked, lined, odd = [], [], []  # (unit, word, marks), and units for the full rules
         for unit in new:
-            if unit.isalpha():
-                letters.append(unit)
+            if unit in made:
                 continue
+            begins = unit[0] == "\n"
             core = unit.rstrip(MARKS)
-            if core.isalpha():
-                marked.append((unit, core, unit[len(core) :]))
+            word = core[1:] if begins else core
+            if word.isalpha():
+                (lined if begins else marked).append((unit, word, unit[len(core) :]))
             else:
                 odd.append(unit)
-        letters += {core for _, core, _ in marked}.difference(known).difference(letters)
-        known.update(zip(letters, self.words(letters), strict=True))
-        if odd:
-            known.update(zip(odd, self.whole([" " + unit for unit in odd]), strict=True))
-        marks = self._look(self.marks, {mark for *_, mark in marked})
-        for unit, core, mark in marked:
-            known[unit] = known[core] + marks[mark]
-
-    def _look(self, memo: dict[str, bytes], wanted: set[str]) -> dict[str, bytes]:
-        new = list(unknown(memo, wanted, self.memo // 20))
-        if new:
-            memo.update(zip(new, self.whole(new), strict=True))
-        return memo
+        marks = self.marks.find(list({mark for *_, mark in chain(marked, lined)}), self.whole)
+        ids = {word: made.get(word) or self.known.get(word) for _, word, _ in marked}
+        unknown = [word for word, found in ids.items() if found is None]
+        ids.update(zip(unknown, self.letters(unknown, True), strict=True))
+        made.update((unit, ids[word] + marks[mark]) for unit, word, mark in marked)
+        begun = list({word for _, word, _ in lined})
+        ids = dict(zip(begun, self.letters(begun, False), strict=True))
+        made.update((unit, self.newline + ids[word] + marks[mark]) for unit, word, mark in lined)
+        made.update(zip(odd, self.whole([unit if unit[0] == "\n" else " " + unit for unit in odd]), strict=True))
+        return list(map(made.__getitem__, new))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
+        """Ids of each text as little-endian numbers of ``width`` bytes."""
         cut = [units(text) for text in texts]
-        first = self._look(self.first, {x[0] for x in cut})
+        begins = [x[0] for x in cut]
+        first = self.first.find(list(set(begins)), self.whole)
         for x in cut:
-            x[0] = first[x[0]]
-        wanted = set(chain.from_iterable(x[1:] for x in cut))
-        self._learn(unknown(self.known, wanted, self.memo))
-        known = self.known.__getitem__
-        return [x[0] + b"".join(map(known, x[1:])) for x in cut]
+            x[0] = ""
+        wanted = set(chain.from_iterable(cut))
+        wanted.discard("")
+        # The units of a few texts: a small table, which stays in the cache while they are joined.
+        here = self.known.find(list(wanted), self._learn)
+        here[""] = b""
+        ids = here.__getitem__
+        return [first[begin] + b"".join(map(ids, x)) for begin, x in zip(begins, cut, strict=True)]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -105,13 +150,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-@lru_cache(maxsize=2)
-def library_encoder(path: str) -> PieceEncoder:
-    """Encoder by a file of the tokenizers library: its normaliser, splitter and merges, no special tokens."""
+@lru_cache(maxsize=4)
+def library_encoder(path: str, narrow: bool = False) -> PieceEncoder:
+    """Encoder by a file of the tokenizers library: its normaliser, splitter and merges, no special tokens.
+
+    Ids have four bytes, or, if ``narrow``, two where the vocabulary allows.
+    """
     tokenizer = Tokenizer.from_file(path)
     normalizer, splitter, model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
     letters = _byte_letters()
-    packed = [k.to_bytes(4, "little") for k in range(tokenizer.get_vocab_size())]
+    width = 2 if narrow and tokenizer.get_vocab_size() <= 1 << 16 else 4
+    packed = [k.to_bytes(width, "little") for k in range(tokenizer.get_vocab_size())]
     lower = normalizer is not None
     with open(path, encoding="utf-8") as text:
         blank = "" if "Split" in json.dumps(json.load(text)["pre_tokenizer"]) else letters[32]
@@ -123,18 +172,16 @@ def library_encoder(path: str) -> PieceEncoder:
         plain = normalizer.normalize_str(text) if lower else text
         return b"".join([merge(part) for part, _ in splitter.pre_tokenize_str(plain)])
 
-    def words(units: Sequence[str]) -> list[bytes]:
-        made = []
+    def words(units: Sequence[str], led: bool) -> list[bytes]:
+        made, before = [], blank if led else ""
         for unit in units:
             if unit.isascii():
-                made.append(merge(blank + (unit.lower() if lower else unit)))
+                made.append(merge(before + (unit.lower() if lower else unit)))
             elif lower and not (plain := normalizer.normalize_str(unit)).isalpha():
                 made.append(by_rules(unit))
             else:
                 raw = (plain if lower else unit).encode().decode("latin-1")
-                made.append(merge(blank + raw.translate(letters)))
+                made.append(merge(before + raw.translate(letters)))
         return made
 
-    made = PieceEncoder(words, lambda texts: [by_rules(text) for text in texts])
-    made.width = 2 if len(packed) <= 1 << 16 else 4  # bytes that hold any id
-    return made
+    return PieceEncoder(words, lambda texts: [by_rules(text) for text in texts], width)

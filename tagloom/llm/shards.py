@@ -93,18 +93,17 @@ class PerfectHash:
 
 
 def build_image(keys: Sequence[bytes], docs: Sequence[bytes], width: int) -> bytes:
-    """Shard of documents (ids as little-endian 32-bit numbers), in the order given."""
+    """Shard of documents (ids as little-endian numbers of ``width`` bytes), in the order given."""
     seed, moves, slots = PerfectHash.build(keys)
-    n, kind = len(keys), f"<u{width}"
-    ids = np.frombuffer(b"".join(docs), "<u4")
+    n, ids = len(keys), b"".join(docs)
     table = bytearray(SLOT.size * n)
     offset = 0
     for key, doc, slot in zip(keys, docs, slots, strict=True):
         mark = PerfectHash.parts(key, seed, n, len(moves))[3]
-        SLOT.pack_into(table, SLOT.size * slot, mark, offset, len(doc) // 4)
-        offset += len(doc) // 4
-    head = HEADER.pack(MAGIC, VERSION, width, n, len(moves), len(ids), seed)
-    return head + np.array(moves, "<u8").tobytes() + bytes(table) + ids.astype(kind).tobytes()
+        SLOT.pack_into(table, SLOT.size * slot, mark, offset, len(doc) // width)
+        offset += len(doc) // width
+    head = HEADER.pack(MAGIC, VERSION, width, n, len(moves), offset, seed)
+    return b"".join((head, np.array(moves, "<u8").tobytes(), table, ids))
 
 
 class Shard:
@@ -151,16 +150,14 @@ def encoded_ranges(
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = docs.select(F.col(key).cast("bigint").alias("key"), whole_text(text).alias("text"))
     bounds = np.array(key_bounds(columns, "key", parts), np.int64)
-    end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer)
+        encoder = library_encoder(tokenizer, narrow=True)
+        end = end_id.to_bytes(encoder.width, "little")
         for batch in slices(batches):
             keys = batch.column(0)
             ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
             part = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), "right")
-            if encoder.width == 2:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
             made = [pa.array(part.astype(np.int32)), keys, pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(made, names=["part", "key", "ids"])
 
@@ -185,7 +182,7 @@ def write_shards(
     are told apart by their number; null keys come first. An empty table gives
     an empty shard table.
     """
-    width = library_encoder(tokenizer).width
+    width = library_encoder(tokenizer, narrow=True).width
     ranges = encoded_ranges(docs, tokenizer, end_id, key=key, text=text, parts=parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +208,7 @@ def write_shards(
                 last, part = (own, key), own
                 keys.append(key)
                 repeats.append(repeat)
-                ids.append(raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes())
+                ids.append(raw)
                 held += len(raw) // width
         if keys:
             yield close()

@@ -65,10 +65,49 @@ def test_trees_together_equal_single_trees(raw):
     assert [ranks.decode(x) for x in ranks.encode(raw)] == raw
 
 
+def small_encoder(path, memo_bytes):
+    made = pieces.library_encoder(path)
+    return pieces.PieceEncoder(made.letters, made.whole, memo_bytes=memo_bytes)
+
+
 def test_memo_starts_anew_without_changing_ids():
-    small = pieces.PieceEncoder(*(lambda e: (e.words, e.whole))(pieces.library_encoder(WORDS)), memo=20)
-    texts = [f"some words {k} and more, {k * 7} than it holds" for k in range(50)]
-    assert small.encode(texts) == pieces.library_encoder(WORDS).encode(texts)
+    small = small_encoder(WORDS, 2000)
+    texts = [f"some words {k} and more,\n{k * 7} than it\nholds" for k in range(50)]
+    made = [x for k in range(0, 50, 5) for x in small.encode(texts[k : k + 5])]
+    assert made == pieces.library_encoder(WORDS).encode(texts)
+
+
+def test_narrow_ids_are_the_same():
+    texts = ["some words,\nand more", "", "1 2 3\n\n4", "é\nü"]
+    wide, narrow = (pieces.library_encoder(BYTES, n).encode(texts) for n in (False, True))
+    assert [np.frombuffer(x, "<u2").tolist() for x in narrow] == [ids_of(x) for x in wide]
+
+
+def test_memo_keeps_two_generations():
+    memo, learned = pieces.Memo(3 * (pieces.ENTRY_BYTES + 5)), []
+
+    def learn(keys):
+        learned.extend(keys)
+        return [key.encode() for key in keys]
+
+    for key in "abcdaefgahijab":
+        assert memo.find([key], learn) == {key: key.encode()}
+    assert learned.count("a") == 1 and learned.count("b") == 2  # used again, and forgotten
+    assert memo.find(["x" * 99], learn) == {"x" * 99: b"x" * 99} and "x" * 99 not in memo.new
+
+
+def test_texts_without_blanks_do_not_fill_the_memo():
+    """Whole texts are one unit each; what is kept stays within the stated bytes."""
+    made = small_encoder(BYTES, 1 << 20)
+    words = small_encoder(BYTES, 1 << 20)
+    for at in range(0, 400, 50):
+        made.encode([chr(0x4E00 + (at + k) % 500) * 10_000 for k in range(50)])
+        words.encode([" ".join(chr(0x4E00 + (at * k) % 2000) * 3 + str(j) for j in range(300)) for k in range(50)])
+    for encoder in (made, words):
+        for memo in (encoder.known, encoder.first, encoder.marks):
+            kept = [memo.new, memo.old]
+            assert sum(len(k) + len(v) for d in kept for k, v in d.items()) <= 2 * memo.limit
+            assert all(len(k) <= pieces.LONGEST for d in kept for k in d)
 
 
 def test_encode_and_decode_odd_documents(odd, nothing, reference):
@@ -105,7 +144,7 @@ def test_perfect_hash_is_one_to_one(keys):
 @given(st.dictionaries(st.integers(-(2**63), 2**63 - 1), st.lists(st.integers(0, 60_000), max_size=9), min_size=1, max_size=60))
 def test_image_finds_its_keys_and_no_others(docs):
     keys = [shards.key_bytes(k) for k in docs]
-    image = shards.Shard(shards.build_image(keys, [np.array(x, "<u4").tobytes() for x in docs.values()], 2))
+    image = shards.Shard(shards.build_image(keys, [np.array(x, "<u2").tobytes() for x in docs.values()], 2))
     for key, ids in zip(keys, docs.values(), strict=True):
         assert image.read(*image.find(key)).tolist() == ids
     assert image.find(shards.key_bytes(12345, 9)) is None
