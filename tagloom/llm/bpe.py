@@ -19,8 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import slices, whole_text
-from tagloom.llm.pieces import PieceEncoder
+from tagloom.llm.common import by_size, slices, whole_text
+from tagloom.llm.pieces import TEXT_BYTES, PieceEncoder
 
 #: Pieces of more bytes than this get a tree of their own.
 SHORT = 64
@@ -201,7 +201,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        for batch in slices(batches):
+        for batch in by_size(batches, 1, TEXT_BYTES):
             ids = pa.array(encoder.encode(batch.column(1).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["k", "ids"])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def by_size(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that the texts of a column together have at most ``most`` bytes, or are one text."""
+    for batch in batches:
+        start = held = 0
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for row, size in enumerate(sizes):
+            if row > start and held + size > most:
+                yield batch.slice(start, row - start)
+                start, held = row, 0
+            held += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def record(columns: Sequence[Sequence], schema: pa.Schema) -> pa.RecordBatch:
     arrays = [pa.array(values, type=field.type) for values, field in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import slices, whole_text
-from tagloom.llm.pieces import library_encoder
+from tagloom.llm.common import by_size, whole_text
+from tagloom.llm.pieces import TEXT_BYTES, library_encoder
 from tagloom.sources.storage import materialise
 
 #: Open windows of a task, and tasks (or groups of them) merged at a time.
@@ -152,7 +152,7 @@ def pack(
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, rows = library_encoder(tokenizer), None
-        for batch in slices(batches):
+        for batch in by_size(batches, 1, TEXT_BYTES):
             if rows is None:
                 rows = _Rows(0, TaskContext.get().partitionId(), batch.schema.field(0).type, with_ids)
                 packer = Packer(size, rows.finish, windows)

@@ -15,10 +15,15 @@ from collections.abc import Callable, Sequence
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Bytes of each of the two generations of a memo; a matter of memory, not of results.
 MEMO_BYTES = 96 << 20
+#: Bytes of texts to encode at a time: enough that most units of one text are in others too.
+TEXT_BYTES = 12 << 20
 #: What an entry takes besides its key and ids, and the longest key that is kept.
 ENTRY_BYTES, LONGEST = 180, 64
 IRREGULAR = re.compile(r" (?:\s|\Z)")
@@ -128,19 +133,45 @@ class PieceEncoder:
         return list(map(made.__getitem__, new))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of ``width`` bytes."""
-        cut = [units(text) for text in texts]
-        begins = [x[0] for x in cut]
+        """Ids of each text as little-endian numbers of ``width`` bytes.
+
+        Units are cut, told apart and put together again by Arrow; only the
+        different units of these texts are looked up or learned here.
+        """
+        if not texts:
+            return []
+        lines, odd = [], []
+        for at, text in enumerate(texts):
+            if IRREGULAR.search(text):
+                odd.append(at)
+                text = ""
+            elif "\n" in text:
+                text = BETWEEN_LINES.sub(" \n", text) if IRREGULAR_LINES.search(text) else text.replace("\n", " \n")
+            lines.append(text)
+        made = self._joined(pc.split_pattern(pa.array(lines, pa.large_string()), " "))
+        if odd:
+            lists = pa.array([units(texts[at]) for at in odd], pa.list_(pa.large_string()))
+            for at, ids in zip(odd, self._joined(lists), strict=True):
+                made[at] = ids
+        return made
+
+    def _joined(self, cut: pa.ListArray) -> list[bytes]:
+        """Ids of texts that are given as lists of units, one at least."""
+        ends = cut.offsets.to_numpy().astype(np.int64)
+        named = cut.values.dictionary_encode()
+        names, place = named.dictionary.to_pylist(), named.indices.to_numpy().astype(np.int64)
+        begins = [names[k] for k in place[ends[:-1]]]
         first = self.first.find(list(set(begins)), self.whole)
-        for x in cut:
-            x[0] = ""
-        wanted = set(chain.from_iterable(cut))
-        wanted.discard("")
-        # The units of a few texts: a small table, which stays in the cache while they are joined.
-        here = self.known.find(list(wanted), self._learn)
-        here[""] = b""
-        ids = here.__getitem__
-        return [first[begin] + b"".join(map(ids, x)) for begin, x in zip(begins, cut, strict=True)]
+        place[ends[:-1]] = len(names)  # no ids here: the first unit's stand before the others'
+        used = np.zeros(len(names) + 1, bool)
+        used[place] = True
+        here = self.known.find([name for name, there in zip(names, used.tolist(), strict=False) if there], self._learn)
+        values = pa.array([*map(here.get, names), b""], pa.large_binary())
+        taken = values.take(pa.array(place))
+        _, offsets, data = taken.buffers()
+        cuts = np.frombuffer(offsets, np.int64)[ends].tolist()
+        ids = memoryview(data) if data is not None else b""
+        return [first[begin] + ids[a:b] for begin, a, b in zip(begins, cuts, cuts[1:], strict=False)]
 
 
 def _byte_letters() -> dict[int, str]:

@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import slices, whole_text
-from tagloom.llm.pieces import library_encoder
+from tagloom.llm.common import by_size, slices, whole_text
+from tagloom.llm.pieces import TEXT_BYTES, library_encoder
 
 #: magic, format version, bytes of an id, documents, buckets, ids, seed
 HEADER = struct.Struct("<4sHHQQQQ")
@@ -154,7 +154,7 @@ def encoded_ranges(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer, narrow=True)
         end = end_id.to_bytes(encoder.width, "little")
-        for batch in slices(batches):
+        for batch in by_size(batches, 1, TEXT_BYTES):
             keys = batch.column(0)
             ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
             part = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), "right")
