@@ -68,8 +68,8 @@ class PerfectHash:
         members: list[list[int]] = [[] for _ in range(buckets)]
         for k, part in enumerate(parts):
             members[part[0]].append(k)
-        taken, moves, slots = bytearray(n), [0] * buckets, [0] * n
-        free = 0
+        taken, moves, slots = bytearray(2 * n), [0] * buckets, [0] * n  # twice over, so that shifts need no turn
+        full, free = np.frombuffer(taken, np.uint8), 0
         for bucket in sorted(range(buckets), key=lambda b: -len(members[b])):
             here = members[bucket]
             if not here:
@@ -77,18 +77,24 @@ class PerfectHash:
             if len(here) == 1:  # any free slot can be reached by a shift alone
                 free = taken.index(0, free)
                 moves[bucket] = (free - parts[here[0]][1]) % n
-                slots[here[0]], taken[free] = free, 1
+                slots[here[0]], full[free], full[free + n] = free, 1, 1
                 continue
-            for move in range(n * min(n, 64)):
-                turn, shift = divmod(move, n)
-                spots = [(parts[k][1] + turn * parts[k][2] + shift) % n for k in here]
-                if len(set(spots)) == len(spots) and not any(taken[s] for s in spots):
+            for turn in range(min(n, 64)):
+                spots = [(parts[k][1] + turn * parts[k][2]) % n for k in here]
+                if len(set(spots)) < len(spots):
+                    continue
+                held = full[spots[0] : spots[0] + n] | full[spots[1] : spots[1] + n]  # by shift
+                for spot in spots[2:]:
+                    held |= full[spot : spot + n]
+                shift = int(held.argmin())
+                if not held[shift]:
                     break
             else:
                 return None
-            moves[bucket] = move
+            moves[bucket] = turn * n + shift
             for k, spot in zip(here, spots, strict=True):
-                slots[k], taken[spot] = spot, 1
+                at = (spot + shift) % n
+                slots[k], full[at], full[at + n] = at, 1, 1
         return moves, slots
 
 
