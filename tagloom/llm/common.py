@@ -78,6 +78,16 @@ def usable_labels(labels: DataFrame, label: str, held_out: Column, key: str) ->
     return known.filter(F.col(key).isNotNull() & ~held_out).groupBy(key).agg(F.max("y").alias("y"))
 
 
+def of_rows(known: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """The labelled keys that the table has; labels of other rows neither fill a sample nor weigh a class."""
+    return known.join(docs.select(key).distinct(), key, "left_semi")
+
+
+def teaches(known: DataFrame) -> bool:
+    """Whether both classes are there to tell apart."""
+    return known.select("y").distinct().count() == 2
+
+
 def sampled_texts(docs: DataFrame, known: DataFrame, rows: int, *, key: str, text: str) -> DataFrame:
     """(t, y): texts of at most ``rows`` labelled keys, one each, chosen by a hash of the key."""
     chosen = known.orderBy(F.xxhash64(key), key).limit(rows)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import remainder, sampled_texts, slices, text_bytes, usable_labels
+from tagloom.llm.common import of_rows, remainder, sampled_texts, slices, teaches, text_bytes, usable_labels
 
 #: Rows of the hashed table (a power of two), width of a vector, lengths of character n-grams.
 BUCKET_BITS, WIDTH, GRAMS = 17, 8, (3, 4)
@@ -219,7 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, *, key: str, text:
     Rows that are held out, have a null key or label, or a label other than 0
     and 1, are not learned from.
     """
-    rows = sampled_texts(docs, usable_labels(labels, label, held_out, key), FIT_ROWS, key=key, text=text)
+    known = of_rows(usable_labels(labels, label, held_out, key), docs, key)
+    rows = sampled_texts(docs, known, FIT_ROWS, key=key, text=text)
 
     def run(table: pa.Table) -> pa.Table:
         drawn = sorted(zip(table.column("t").to_pylist(), table.column("y").to_pylist(), strict=True))
@@ -269,8 +270,14 @@ def keep(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality",
     folds: int = 4, fold: int = 2, threshold: float = 0.7,
 ) -> DataFrame:
-    """The rows whose text is predicted to have label 1, all columns, without a join."""
-    model = fit(docs, labels, remainder(key, folds) == fold, key=key, text=text, label=label)
+    """The rows whose text is predicted to have label 1, all columns, without a join.
+
+    Where the labels of these rows do not hold both classes nothing can be learned, and all rows stay.
+    """
+    held_out = remainder(key, folds) == fold
+    if not teaches(of_rows(usable_labels(labels, label, held_out, key), docs, key)):
+        return docs
+    model = fit(docs, labels, held_out, key=key, text=text, label=label)
     at = docs.schema.names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import remainder, sampled_texts, slices, text_bytes, unknown, usable_labels
+from tagloom.llm.common import of_rows, remainder, sampled_texts, slices, teaches, text_bytes, unknown, usable_labels
 
 #: Labelled rows of each class that are learned from, at most; they are chosen by a hash of the key.
 FIT_ROWS = 3000
@@ -245,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, *, key: str, text:
     are held out, have a null key or label, or a label other than 0 and 1, are
     not learned from.
     """
-    known = usable_labels(labels, label, held_out, key)
+    known = of_rows(usable_labels(labels, label, held_out, key), docs, key)
     sizes = dict(known.groupBy("y").count().collect())
     rows = [sampled_texts(docs, known.filter(F.col("y") == c), FIT_ROWS, key=key, text=text) for c in (0, 1)]
 
@@ -301,8 +301,14 @@ def keep(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
     folds: int = 5, fold: int = 0, threshold: float = 0.5,
 ) -> DataFrame:
-    """The rows whose text is not predicted toxic, all columns, without a join."""
-    model = fit(docs, labels, remainder(key, folds) == fold, key=key, text=text, label=label)
+    """The rows whose text is not predicted toxic, all columns, without a join.
+
+    Where the labels of these rows do not hold both classes nothing can be learned, and all rows stay.
+    """
+    held_out = remainder(key, folds) == fold
+    if not teaches(of_rows(usable_labels(labels, label, held_out, key), docs, key)):
+        return docs
+    model = fit(docs, labels, held_out, key=key, text=text, label=label)
     at = docs.schema.names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,8 @@ so links are counted once, in place, and never written out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +30,28 @@ FIT_ROWS, MAX_CENTROIDS = 20_000, 1024
 PER_CELL, PART = 32, 2048
 
 
-class Grid(NamedTuple):
+@dataclass
+class Grid:
     """Codebooks of the two halves and the square of the distance up to which cells are visited."""
 
     books: tuple[np.ndarray, np.ndarray]
     reach: float
 
+    @cached_property
+    def apart(self) -> tuple[np.ndarray, ...]:
+        """Distances between the centroids of each book, from their products, once in a task."""
+        made = []
+        for book in self.books:
+            squares = (book**2).sum(1)
+            made.append(np.sqrt(np.maximum(squares[:, None] + squares - 2 * book @ book.T, 1e-18)))
+        return tuple(made)
+
     def margins(self, unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each half: nearest centroid, and squared distance to the border of each other one."""
         made, cut = [], unit.shape[1] // 2
-        for book, half in zip(self.books, (unit[:, :cut], unit[:, cut:]), strict=True):
+        for book, apart, half in zip(self.books, self.apart, (unit[:, :cut], unit[:, cut:]), strict=True):
             far = (half**2).sum(1)[:, None] - 2 * half @ book.T + (book**2).sum(1)
             own = far.argmin(1)
-            apart = np.sqrt(np.maximum(((book[:, None] - book[None]) ** 2).sum(2), 1e-18))
             gap = np.maximum(far - far[np.arange(len(far)), own][:, None], 0) / (2 * apart[own])
             made.append((own, gap**2))
         return made

@@ -49,9 +49,31 @@ def test_stages_of_odd_documents(spark, odd, nothing, folder):
             made.collect()
 
 
+def test_documents_stay_where_nothing_can_be_learned(spark, odd):
+    for module, label in ((quality, "quality"), (toxicity, "toxic")):
+        for rows in ([], [(3, 1), (4, 1)], [(10**9 + k, k % 2) for k in range(50)]):  # none, one class, other documents
+            labels = spark.createDataFrame(rows, f"doc_id bigint, {label} int")
+            kept = module.keep(odd, labels)
+            assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
+def test_labels_of_other_documents_do_not_fill_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"{'good calm' if k % 2 else 'bad loud'} words number {k}") for k in range(400)], "doc_id bigint, text string")
+    rows = [(k, k % 2) for k in range(400)] + [(10**6 + k, k % 2) for k in range(4000)]
+    for module, label in ((quality, "quality"), (toxicity, "toxic")):
+        monkeypatch.setattr(module, "FIT_ROWS", 150)
+        made = [
+            {r["doc_id"]: r["score"] for r in module.classify(docs, spark.createDataFrame(x, f"doc_id bigint, {label} int")).collect()}
+            for x in (rows, rows[:400])
+        ]
+        assert made[0] == made[1]
+        right = [(score > 0.5) == bool(k % 2) for k, score in made[0].items()]
+        assert sum(right) > 0.9 * len(right)
+
+
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert corpus_pipeline.ORACLE_SQL is None

@@ -336,3 +336,24 @@ def test_url_query_rules(spark, folder):
         rule = slow_rule(host, path)
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule and rule.name)
         assert r["verdict"] == rule.verdict if rule else r["verdict"] in ("allow", "block")
+
+
+def test_wide_vectors_and_many_centroids_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    books = (rng.normal(size=(1024, 384)), rng.normal(size=(1024, 384)))
+    unit = rng.normal(size=(512, 768))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    grid = vectors.Grid(books, 0.01)
+    tracemalloc.start()
+    made = grid.margins(unit)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    for (own, gap), book, half in zip(made, books, (unit[:, :384], unit[:, 384:]), strict=True):
+        far = ((half[:20, None] - book[None]) ** 2).sum(2)
+        assert (own[:20] == far.argmin(1)).all()
+        apart = np.sqrt(((book[own[:20], None] - book[None]) ** 2).sum(2))
+        exact = (far - far.min(1, keepdims=True)) / (2 * np.maximum(apart, 1e-9))
+        exact[np.arange(20), own[:20]] = 0.0
+        assert np.allclose(gap[:20], exact**2)
