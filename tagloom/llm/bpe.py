@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import by_size, slices, whole_text
-from tagloom.llm.pieces import TEXT_BYTES, PieceEncoder
+from tagloom.llm.pieces import MEMO_BYTES, TEXT_BYTES, PieceEncoder
 
 #: Pieces of more bytes than this get a tree of their own.
 SHORT = 64
@@ -185,7 +185,7 @@ def encoder_of(path: str, pattern: str) -> PieceEncoder:
     def letters(words: Sequence[str], led: bool) -> list[bytes]:
         return ranks.encode([(" " + word if led else word).encode() for word in words])
 
-    return PieceEncoder(letters, whole)
+    return PieceEncoder(letters, whole, memo_bytes=MEMO_BYTES // 2)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -201,7 +201,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        for batch in by_size(batches, 1, TEXT_BYTES):
+        for batch in by_size(batches, 1, TEXT_BYTES // 4):
             ids = pa.array(encoder.encode(batch.column(1).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["k", "ids"])
 
