@@ -215,4 +215,4 @@ def library_encoder(path: str, narrow: bool = False) -> PieceEncoder:
                 made.append(merge(before + raw.translate(letters)))
         return made
 
-    return PieceEncoder(words, lambda texts: [by_rules(text) for text in texts], width)
+    return PieceEncoder(words, lambda texts: [by_rules(text) for text in texts], width, MEMO_BYTES if narrow else MEMO_BYTES // 2)
