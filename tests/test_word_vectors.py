@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from functools import partial
 from math import log
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tagloom.operators import parts, text_features
 from tagloom.operators import word_vectors as wv
 from tagloom.operators.text_features import embed_by_join, nearest_words
 
@@ -127,3 +130,47 @@ def test_nothing_to_count(spark):
     assert wv.cooccurrences(none, SPEC).collect() == []
     assert wv.corpus_vectors(none, SPEC).collect() == []
     assert wv.positive_pmi(wv.cooccurrences(none.limit(0), SPEC)).collect() == []
+
+
+@pytest.fixture
+def many_parts(monkeypatch):
+    """Parts of about 200 tokens, dealt row by row."""
+    monkeypatch.setattr(parts, "RUN_BITS", 0)
+    for module in (wv, text_features):
+        monkeypatch.setattr(module, "with_words", partial(parts.with_words, part_tokens=200))
+
+
+def test_pairs_and_sums_of_many_parts(spark, df, texts, many_parts):
+    """Pairs and document vectors do not depend on the parts; repeated keys add up, null keys have zeros."""
+    counts, _ = dense(texts)
+    assert {(r["word"], r["context"]): r["n"] for r in wv.cooccurrences(df, SPEC).collect()} == dict(counts)
+    vectors = spark.createDataFrame([(w, [float(k), 1.0]) for k, w in enumerate(LETTERS[:20])], "word string, vector array<double>")
+    rows = df.unionByName(spark.createDataFrame([(3, ["w1", "w9", "w29"]), (None, ["w1"])], df.schema))
+    held: Counter = Counter()
+    for row in rows.collect():
+        for w in row["t"] or []:
+            if row["id"] is not None and w in LETTERS[:20]:
+                held[row["id"]] += np.array([float(w[1:]), 1.0])
+    found = embed_by_join(rows, vectors, key="id", tokens="t", out="v", size=2).collect()
+    assert len(found) == len(texts) + 2
+    for r in found:
+        wanted = held[r["id"]] / len(r["t"]) if r["t"] and r["id"] in held else np.zeros(2)
+        assert np.allclose(r["v"], wanted, atol=1e-12)
+
+
+def test_a_part_meets_each_of_its_words_once(spark):
+    """What moves are the words of a part, not one for each word of each row."""
+    words = [f"w{k}" for k in range(50)]
+    rows = spark.createDataFrame([(k, words) for k in range(400)], "id int, t array<string>").coalesce(1)
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    met = parts.with_words(rows, "t", table, ["id"], part_tokens=10_000)
+    found = {r["kind"]: r["count"] for r in met.groupBy("kind").count().collect()}
+    assert found[1] == 400 and found[0] <= 2 * 50
+
+
+def test_dealt_rows_are_the_same_in_more_tasks(spark):
+    rows = spark.range(0, 4000, 1, 1).select((F.col("id") % 7).alias("x"))
+    small = text_features.dealt(rows, 4000)
+    sizes = [r["count"] for r in small.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 1000
+    assert small.columns == ["x"] and sorted(r["x"] for r in small.collect()) == sorted(k % 7 for k in range(4000))
