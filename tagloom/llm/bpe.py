@@ -201,7 +201,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        for batch in by_size(batches, 1, TEXT_BYTES // 4):
+        for batch in by_size(batches, 1, TEXT_BYTES // 2):
             ids = pa.array(encoder.encode(batch.column(1).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["k", "ids"])
 

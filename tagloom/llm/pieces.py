@@ -22,8 +22,9 @@ from tokenizers import Tokenizer
 
 #: Bytes of each of the two generations of a memo; a matter of memory, not of results.
 MEMO_BYTES = 96 << 20
-#: Bytes of texts to encode at a time: enough that most units of one text are in others too.
-TEXT_BYTES = 12 << 20
+#: Bytes of texts to encode at a time: enough that most units of one text are in others too. What Arrow
+#: holds meanwhile is about ten times as much.
+TEXT_BYTES = 6 << 20
 #: What an entry takes besides its key and ids, and the longest key that is kept.
 ENTRY_BYTES, LONGEST = 180, 64
 IRREGULAR = re.compile(r" (?:\s|\Z)")
@@ -215,4 +216,5 @@ def library_encoder(path: str, narrow: bool = False) -> PieceEncoder:
                 made.append(merge(before + raw.translate(letters)))
         return made
 
-    return PieceEncoder(words, lambda texts: [by_rules(text) for text in texts], width)
+    # Ids of two bytes go to tasks that hold shards besides: half the memo.
+    return PieceEncoder(words, lambda texts: [by_rules(text) for text in texts], width, MEMO_BYTES // (2 if narrow else 1))

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from tagloom.llm import bpe, packing, pieces, shards
 from tagloom.llm.catalog import QUERIES
+from tagloom.llm.common import by_size
 from tagloom.sources.storage import scratch_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -235,3 +237,19 @@ def test_packer_bounds_its_windows_and_cuts_only_to_fill(sizes, windows):
     total = [sum(len(p[3]) // 4 for p in w) for w in rest]
     assert sum(total) + 16 * len(done) == sum(sizes)
     assert all(n == 16 or n & (n - 1) == 0 for n in total)
+
+
+def test_encoding_holds_little_at_a_time():
+    """Twenty million bytes of short words, as one Arrow batch: memory follows the texts encoded at a time."""
+    words = " ".join(f"w{k % 997}" for k in range(25_000))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(160)), pa.array([words] * 160)], names=["k", "t"])
+    encoder = pieces.library_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    usual, watched = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(watched)
+    try:
+        made = [ids for some in by_size(iter([batch]), 1, pieces.TEXT_BYTES) for ids in encoder.encode(some.column(1).to_pylist())]
+    finally:
+        pa.set_memory_pool(usual)
+    assert len(made) == 160 and len(set(made)) == 1
+    assert watched.max_memory() < 100 << 20
+    assert pieces.library_encoder(public_tokenizers.path("byte_bpe_50k.json"), narrow=True).known.limit < encoder.known.limit
