@@ -118,7 +118,8 @@ class PieceEncoder:
             begins = unit[0] == "\n"
             core = unit.rstrip(MARKS)
             word = core[1:] if begins else core
-            if word.isalpha():
+            # A letter that becomes a letter and a mark in lower case joins the marks behind it.
+            if word.isalpha() and (word.isascii() or word.lower().isalpha()):
                 (lined if begins else marked).append((unit, word, unit[len(core) :]))
             else:
                 odd.append(unit)

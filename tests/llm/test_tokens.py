@@ -253,3 +253,10 @@ def test_encoding_holds_little_at_a_time():
     assert len(made) == 160 and len(set(made)) == 1
     assert watched.max_memory() < 100 << 20
     assert pieces.library_encoder(public_tokenizers.path("byte_bpe_50k.json"), narrow=True).known.limit < encoder.known.limit
+
+
+def test_a_letter_that_ends_in_a_mark_joins_the_marks_behind_it():
+    texts = [" İ?", "aİ? İ! x", "a\nİ? b"]
+    for path in (BYTES, WORDS):
+        made = pieces.library_encoder(path).encode(texts)
+        assert [ids_of(x) for x in made] == [x.ids for x in library(path).encode_batch(texts, add_special_tokens=False)]
