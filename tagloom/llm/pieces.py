@@ -13,7 +13,6 @@ import json
 import re
 from collections.abc import Callable, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +54,14 @@ def units(text: str) -> list[str]:
     return joined
 
 
+def joins_marks(word: str) -> bool:
+    """Whether ASCII marks behind a word are parts of their own.
+
+    It has letters alone, none of which becomes a letter and a mark in lower case: that mark joins those behind it.
+    """
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+
+
 class Memo:
     """Ids of keys in two generations: when the newer is full it becomes the older, whose keys are
     taken over when they are used again and forgotten when they are not. Long keys are not kept."""
@@ -66,26 +73,30 @@ class Memo:
 
     def find(self, wanted: Sequence[str], learn: Callable[[list[str]], Sequence[bytes]]) -> dict[str, bytes]:
         """{key: ids} of different keys; what is not known is learned together."""
-        found = dict(zip(wanted, map(self.new.get, wanted), strict=True))
-        absent = [key for key, ids in found.items() if ids is None]
+        return dict(zip(wanted, self.take(wanted, learn), strict=True))
+
+    def take(self, wanted: Sequence[str], learn: Callable[[list[str]], Sequence[bytes]]) -> list[bytes]:
+        """Ids of different keys in their order; what is not known is learned together."""
+        found = list(map(self.new.get, wanted))
+        absent = [at for at, ids in enumerate(found) if ids is None]
         if not absent:
             return found
-        again = dict(zip(absent, map(self.old.get, absent), strict=True))
-        missing = [key for key, ids in again.items() if ids is None]
-        again.update(zip(missing, learn(missing), strict=True))
-        found.update(again)
-        if max(map(len, again)) > LONGEST:
-            again = {key: ids for key, ids in again.items() if len(key) <= LONGEST}
-        self.new.update(again)
-        self.held += ENTRY_BYTES * len(again) + 2 * sum(map(len, again)) + sum(map(len, again.values()))
+        keys = [wanted[at] for at in absent]
+        again = list(map(self.old.get, keys))
+        learned = iter(learn([key for key, ids in zip(keys, again, strict=True) if ids is None]))
+        again = [next(learned) if ids is None else ids for ids in again]
+        for at, ids in zip(absent, again, strict=True):
+            found[at] = ids
+        sizes = list(map(len, keys))
+        if max(sizes) > LONGEST:
+            kept = [k for k, size in enumerate(sizes) if size <= LONGEST]
+            keys, again, sizes = ([x[k] for k in kept] for x in (keys, again, sizes))
+        self.new.update(zip(keys, again, strict=True))
+        self.held += ENTRY_BYTES * len(keys) + 2 * sum(sizes) + sum(map(len, again))
         if self.held > self.limit:
             self.old, self.new, self.held = self.new, {}, 0
         return found
 
-    def get(self, key: str) -> bytes | None:
-        ids = self.new.get(key)
-        return self.old.get(key) if ids is None else ids
-
 
 class PieceEncoder:
     """Ids of texts through memos of units.
@@ -111,29 +122,50 @@ class PieceEncoder:
     def _learn(self, new: list[str]) -> list[bytes]:
         words = [unit for unit in new if unit.isalpha()]
         made = dict(zip(words, self.letters(words, True), strict=True))
-        marked, lined, odd = [], [], []  # (unit, word, marks), and units for the full rules
+        lined, odd = [], []  # (unit, word, marks), and units for the full rules
         for unit in new:
             if unit in made:
                 continue
-            begins = unit[0] == "\n"
-            core = unit.rstrip(MARKS)
-            word = core[1:] if begins else core
-            # A letter that becomes a letter and a mark in lower case joins the marks behind it.
-            if word.isalpha() and (word.isascii() or word.lower().isalpha()):
-                (lined if begins else marked).append((unit, word, unit[len(core) :]))
+            core = unit.rstrip(MARKS) if unit[0] == "\n" else ""
+            if joins_marks(core[1:]):
+                lined.append((unit, core[1:], unit[len(core) :]))
             else:
                 odd.append(unit)
-        marks = self.marks.find(list({mark for *_, mark in chain(marked, lined)}), self.whole)
-        ids = {word: made.get(word) or self.known.get(word) for _, word, _ in marked}
-        unknown = [word for word, found in ids.items() if found is None]
-        ids.update(zip(unknown, self.letters(unknown, True), strict=True))
-        made.update((unit, ids[word] + marks[mark]) for unit, word, mark in marked)
-        begun = list({word for _, word, _ in lined})
-        ids = dict(zip(begun, self.letters(begun, False), strict=True))
-        made.update((unit, self.newline + ids[word] + marks[mark]) for unit, word, mark in lined)
+        if lined:
+            marks = self.marks.find(list({mark for *_, mark in lined}), self.whole)
+            begun = list({word for _, word, _ in lined})
+            ids = dict(zip(begun, self.letters(begun, False), strict=True))
+            made.update((unit, self.newline + ids[word] + marks[mark]) for unit, word, mark in lined)
         made.update(zip(odd, self.whole([unit if unit[0] == "\n" else " " + unit for unit in odd]), strict=True))
         return list(map(made.__getitem__, new))
 
+    def _units(self, names: pa.Array, used: np.ndarray) -> list[bytes]:
+        """Ids of different units, nothing for those that are not used.
+
+        Words with marks behind them are taken apart before the memo, which so
+        holds each word once, whatever stands behind it.
+        """
+        cores = pc.utf8_rtrim(names, MARKS)
+        units, made = names.to_numpy(zero_copy_only=False).tolist(), [b""] * len(names)
+        led = used & (pc.binary_length(cores).to_numpy() < pc.binary_length(names).to_numpy())
+        at = np.flatnonzero(led)
+        words = cores.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()
+        marked = [(k, word, units[k][len(word) :]) for k, word in zip(at.tolist(), words, strict=True) if joins_marks(word)]
+        plain = used.copy()
+        plain[[k for k, *_ in marked]] = False
+        kept = np.flatnonzero(plain).tolist()
+        wanted = [units[k] for k in kept]
+        wanted += {word for _, word, _ in marked}.difference(wanted)
+        ids = self.known.take(wanted, self._learn)
+        for k, found in zip(kept, ids, strict=False):
+            made[k] = found
+        if marked:
+            of = dict(zip(wanted, ids, strict=True))
+            marks = self.marks.find(list({mark for *_, mark in marked}), self.whole)
+            for k, word, mark in marked:
+                made[k] = of[word] + marks[mark]
+        return made
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``width`` bytes.
 
@@ -161,14 +193,13 @@ class PieceEncoder:
         """Ids of texts that are given as lists of units, one at least."""
         ends = cut.offsets.to_numpy().astype(np.int64)
         named = cut.values.dictionary_encode()
-        names, place = named.dictionary.to_pylist(), named.indices.to_numpy().astype(np.int64)
-        begins = [names[k] for k in place[ends[:-1]]]
+        names, place = named.dictionary, named.indices.to_numpy().astype(np.int64)
+        begins = names.take(pa.array(place[ends[:-1]])).to_numpy(zero_copy_only=False).tolist()
         first = self.first.find(list(set(begins)), self.whole)
         place[ends[:-1]] = len(names)  # no ids here: the first unit's stand before the others'
         used = np.zeros(len(names) + 1, bool)
         used[place] = True
-        here = self.known.find([name for name, there in zip(names, used.tolist(), strict=False) if there], self._learn)
-        values = pa.array([*map(here.get, names), b""], pa.large_binary())
+        values = pa.array([*self._units(names, used[:-1]), b""], pa.large_binary())
         taken = values.take(pa.array(place))
         _, offsets, data = taken.buffers()
         cuts = np.frombuffer(offsets, np.int64)[ends].tolist()

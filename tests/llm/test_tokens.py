@@ -260,3 +260,14 @@ def test_a_letter_that_ends_in_a_mark_joins_the_marks_behind_it():
     for path in (BYTES, WORDS):
         made = pieces.library_encoder(path).encode(texts)
         assert [ids_of(x) for x in made] == [x.ids for x in library(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_word_is_learned_once_whatever_marks_stand_behind_it():
+    """Marks come off before the memo, so that it holds words and not each word with each of its marks."""
+    texts = ["it word word, word. (word) word!? word-\nword, wörd; wörd 12, x9. İ, ,, end", "", "word,  word. \n word!", ", word,\t. word."]
+    for path in (BYTES, WORDS):
+        small = small_encoder(path, 1 << 20)
+        made = [ids_of(x) for x in small.encode(texts)]
+        assert made == [x.ids for x in library(path).encode_batch(texts, add_special_tokens=False)]
+        assert {"word", "wörd"} <= set(small.known.new)
+        assert not {"word,", "word.", "word!?", "wörd;"} & set(small.known.new)
