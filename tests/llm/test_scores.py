@@ -213,6 +213,77 @@ def test_inner_gradient_by_differences(fitted):
         assert slope[k][spot] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=2e-2, abs=2e-5)
 
 
+def test_words_cut_side_by_side_equal_single_ones():
+    subwords, rng = attention.Subwords(VOCABULARY), random.Random(3)
+    letters = [x for x in range(256) if not bytes([x]).isspace()]
+    words = [bytes(rng.choice(letters) for _ in range(rng.randint(1, 2 * attention.SHORT))).lower() for _ in range(300)]
+    words += [b"the", b"t", "été".encode(), b"house" * 9, b"\x00\xff", b"gardens", b"the"]
+    assert subwords.spelled(words) == [subwords.cut(word) for word in words]
+    assert subwords.spelled([]) == []
+    sizes = subwords.cuts([b"the", b"gardens"])[1]
+    assert sizes.tolist() == [len(subwords.cut(word)) // 2 for word in (b"the", b"gardens")]
+
+
+def slow_descent(model, batches, rate: float, steps: int) -> np.ndarray:
+    """Adam as it is written, over all weights at once, in double precision."""
+    slots, bounds = model.layout()
+    line = model.flat().astype(float)
+    first = second = np.zeros_like(line)
+    for step, windows in enumerate(batches, 1):
+        targets = windows[:, 1:]
+        now = model.on(line)
+        _, made = attention.gradients(now.weights, windows[:, :-1], now.named[targets], now.inner, bounds, slots[targets])
+        slope = np.concatenate([g.ravel() for g in made])
+        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
+        pace = rate * (1 - 0.9 * min(1.0, step / steps))
+        line = line - pace * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return line
+
+
+def test_weights_moved_in_parts_equal_plain_adam(fitted):
+    _, subwords, _ = fitted
+    rng = np.random.default_rng(4)
+    model = attention.start_model(rng.integers(0, 50, subwords.size), subwords)
+    batches = [rng.integers(0, subwords.size, (70, attention.WINDOW + 1)) for _ in range(3)]  # more rows than stand together
+    assert 70 * attention.WINDOW > 2 * attention.ROWS
+    made, slow = attention.descend(model, batches, 1e-3, 10).flat(), slow_descent(model, batches, 1e-3, 10)
+    moved = slow - model.flat()
+    assert np.abs(made - slow).mean() < 1e-3 * np.abs(moved).mean()
+    steep = model.of([w * 40 for w in model.parts()])  # scores whose exp float32 does not hold
+    loss, slope = attention.gradients(steep.weights, batches[0][:, :-1], model.named[batches[0][:, 1:]])
+    assert np.isfinite(loss) and all(np.isfinite(g).all() for g in slope)
+
+
+def slow_inner_chances(model, subwords, ids: np.ndarray) -> list[float]:
+    """``slow_chances`` of a model with an output for each id."""
+    e, p, wq, wk, wv, wo, u, b = (np.asarray(w, float) for w in model.weights)
+    slots, bounds = model.layout()
+    step = attention.WINDOW - attention.OVERLAP
+    line = np.concatenate([[subwords.end], ids, [subwords.end]])
+    chances = []
+    for target in range(1, len(line)):
+        first = (target - 1) // step * step - attention.OVERLAP
+        x = np.array([e[line[max(k, 0)]] + p[k - first] for k in range(first, target)])
+        weight = np.exp((x[-1] @ wq) @ (x @ wk).T / np.sqrt(attention.WIDTH))
+        h = x[-1] + weight / weight.sum() @ (x @ wv) @ wo
+        name, slot = model.named[line[target]], slots[line[target]]
+        z, own = np.exp(h @ u + b), slice(bounds[name], bounds[name + 1])
+        inner = np.exp(h @ model.inner.out[:, own].astype(float) + model.inner.bias[own])
+        chances.append(np.log10(z[name] / z.sum()) + np.log10(inner[slot - bounds[name]] / inner.sum()))
+    return chances
+
+
+def test_batched_chances_of_ids_equal_single_ones(fitted):
+    texts, subwords, _ = fitted
+    ids = subwords.ids(texts)
+    counts = np.bincount(np.concatenate(ids), minlength=subwords.size)
+    model = attention.fit_sample(texts, subwords, model=attention.start_model(counts, subwords), steps=20)
+    made = attention.Scorer(model, subwords).score(ids)  # more rows than stand together
+    assert sum(len(own) for own in ids) > attention.ROWS
+    for own, (chance, _) in list(zip(ids, made, strict=True))[::9]:
+        assert chance == pytest.approx(slow_inner_chances(model, subwords, own), abs=1e-4)
+
+
 def test_training_walks_over_whole_texts():
     rng = np.random.default_rng(2)
     texts = [rng.integers(0, 900, n) for n in (0, 1, 31, 32, 33, 2000, 7)]
