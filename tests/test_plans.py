@@ -207,6 +207,15 @@ def test_word2vec(spark):
         text_features.embed(df, model, "other")
 
 
+def test_words_and_both_vectors_must_fit_the_heap(spark):
+    df = spark.range(1)
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    fitting = heap // (2 * 128 * 4 + text_features.WORD_BYTES)
+    text_features._check_model(df, fitting, 128)
+    with pytest.raises(ValueError, match="exceed"):  # one vector for each of them would fit
+        text_features._check_model(df, fitting + 1, 128)
+
+
 def test_token_stages_equal_columns(spark):
     df = spark.createDataFrame([("the soup was not too salty at all",), ("dry",), ("",)], "review_clean string")
     for n in (1, 2, 3):
