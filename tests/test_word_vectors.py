@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import uuid
 from collections import Counter
 from functools import partial
 from math import log
@@ -11,9 +12,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.operators import parts, text_features
+from tagloom.operators import packed, parts, text_features
 from tagloom.operators import word_vectors as wv
 from tagloom.operators.text_features import embed_by_join, nearest_words
+from tagloom.sources import storage
+from tagloom.sources.storage import forget, materialise
 
 LETTERS = [f"w{k}" for k in range(30)]
 
@@ -174,3 +177,60 @@ def test_dealt_rows_are_the_same_in_more_tasks(spark):
     sizes = [r["count"] for r in small.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) >= 8 and max(sizes) < 1000
     assert small.columns == ["x"] and sorted(r["x"] for r in small.collect()) == sorted(k % 7 for k in range(4000))
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for values in (np.array([], int), np.array([0, 127, 128, 2**14, 2**35, 2**62]), rng.integers(0, 2**20, 5000)):
+        line, ends = packed.packed(values)
+        back, same_ends = packed.unpacked(line.tobytes())
+        assert back.tolist() == values.tolist() and same_ends.tolist() == ends.tolist()
+        assert packed.risen(packed.rising(np.sort(values))).tolist() == np.sort(values).tolist()
+    assert len(packed.packed(np.arange(128))[0]) == 128
+
+
+def scratch_bytes(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+@pytest.fixture
+def scratch(tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    return tmp_path
+
+
+def test_pairs_leave_little_on_the_disk(spark, scratch):
+    """Counting and weighing pairs leaves packed pairs and words behind, not strings and not copies of the tokens."""
+    rng = np.random.default_rng(3)
+    rows = [(k, [f"word{n:04}" for n in (rng.random(60) ** 3 * 900).astype(int)]) for k in range(1500)]
+    df = materialise(spark.createDataFrame(rows, "id int, t array<string>"), "tokens")
+    before = scratch_bytes(scratch)
+    weighed = wv.positive_pmi(wv.cooccurrences(df, wv.FactorSpec(tokens="t", min_count=5)))
+    counted = weighed.count()
+    assert counted > 50_000 and scratch_bytes(scratch) - before < counted
+
+
+def test_written_tables_can_be_forgotten(spark, scratch):
+    made = materialise(spark.range(10))
+    assert scratch_bytes(scratch) > 0
+    forget(made)
+    assert scratch_bytes(scratch) == 0
+    forget(spark.range(3))  # not a written table: nothing happens
+
+
+def test_pairs_of_any_table_are_weighed(spark, df, texts):
+    """A table of pairs that did not come from ``cooccurrences`` gives the same weights."""
+    plain = materialise(wv.cooccurrences(df, SPEC))
+    wanted = {(r["word"], r["context"]): (r["n"], r["pmi"]) for r in wv.positive_pmi(wv.cooccurrences(df, SPEC)).collect()}
+    found = {(r["word"], r["context"]): (r["n"], r["pmi"]) for r in wv.positive_pmi(plain).collect()}
+    assert found.keys() == wanted.keys()
+    assert all(found[k][0] == n and abs(found[k][1] - x) < 1e-12 for k, (n, x) in wanted.items())
+
+
+def test_large_vectors_are_dealt_over_sets(spark, df, texts, monkeypatch):
+    """Vectors beyond the bytes of a task meet the rows set by set; sums are the same."""
+    vectors = spark.createDataFrame([(w, [float(k), 1.0]) for k, w in enumerate(LETTERS[:20])], "word string, vector array<double>")
+    whole = {r["id"]: r["v"] for r in embed_by_join(df, vectors, key="id", tokens="t", out="v", size=2).collect()}
+    monkeypatch.setattr(text_features, "VECTOR_BYTES", 100)
+    parts_ = {r["id"]: r["v"] for r in embed_by_join(df, vectors, key="id", tokens="t", out="v", size=2).collect()}
+    assert whole.keys() == parts_.keys() and all(np.allclose(whole[k], parts_[k], atol=1e-12) for k in whole)
