@@ -234,3 +234,25 @@ def test_large_vectors_are_dealt_over_sets(spark, df, texts, monkeypatch):
     monkeypatch.setattr(text_features, "VECTOR_BYTES", 100)
     parts_ = {r["id"]: r["v"] for r in embed_by_join(df, vectors, key="id", tokens="t", out="v", size=2).collect()}
     assert whole.keys() == parts_.keys() and all(np.allclose(whole[k], parts_[k], atol=1e-12) for k in whole)
+
+
+def test_sums_of_a_vector_table_can_be_forgotten(spark, df, scratch):
+    """What a transform writes is known, so a plan can delete it once its own table is stored."""
+    vectors = spark.createDataFrame([(w, [float(k), 1.0]) for k, w in enumerate(LETTERS)], "word string, vector array<double>")
+    table = text_features.VectorTable(vectors, "t", "v", 2, "id")
+    before = len(list(scratch.iterdir()))
+    assert table.transform(df).count() == df.count() and len(list(scratch.iterdir())) == before + 1
+    forget(*table.written)
+    assert len(list(scratch.iterdir())) == before
+
+
+def test_words_in_several_rows_of_a_batch_add_up():
+    """Sums by products, for words with many pairs, and by ranges, for few, are those of a plain loop."""
+    rng = np.random.default_rng(2)
+    for words in (3, 400):
+        row, context = np.sort(rng.integers(0, words, 5000)), rng.integers(0, 50, 5000)
+        weight, vectors = rng.random(5000), rng.normal(size=(50, 4))
+        sums, met, wanted = np.zeros((words, 4)), np.zeros(words, bool), np.zeros((words, 4))
+        wv._add(sums, met, row, context, weight, vectors)
+        np.add.at(wanted, row, weight[:, None] * vectors[context])
+        assert np.allclose(sums, wanted) and set(np.flatnonzero(met)) == set(row)
